@@ -7,9 +7,25 @@ from pyspark.sql import functions as F
 
 from rastro.operators.hierarchy import descendants, latest_rows, resolve_hierarchy
 from rastro.operators.snapshot_diff import snapshot_changes
+from rastro.operators.wide_table import wide_table
 from rastro.session import cut, read
 
 
+def p1_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per asin with the typed columns of attribute_columns."""
+    return wide_table(read(spark, sf_dir, "product_attributes"), read(spark, sf_dir, "attribute_columns"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filled cells of the wide table's bigint, boolean and date columns."""
+    wide = p1_wide(spark, sf_dir)
+    kinds = dict(wide.dtypes)
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in wide.columns if kinds[c] in ("bigint", "boolean", "date")]
+    if not cells:
+        return wide.select("asin", F.lit("").alias("column_name"), F.lit("").alias("value")).limit(0)
+    return wide.select("asin", F.inline(F.array(*cells))).filter("value is not null")
+
+
 def _placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "category_placements").select("placement_id", "parent_placement_id", "depth", "last_seen_at")
     return latest_rows(rows, "placement_id", "last_seen_at")
@@ -45,7 +61,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p3_paths, p3_descendants, p5_found)}
+    return {f.__name__: f for f in (p1_found, p1_wide, p3_found, p3_paths, p3_descendants, p5_found)}
 
 
 _TREE = """
