@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastro.operators.hierarchy import descendants, latest_rows, resolve_hierarchy
+from rastro.operators.quantities import convert_quantities
 from rastro.operators.snapshot_diff import snapshot_changes
 from rastro.operators.wide_table import wide_table
 from rastro.session import cut, read
@@ -60,8 +61,33 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_changes(cards, read(spark, sf_dir, "ranking_snapshots"))
 
 
+def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of problem 6; bullets are lines of one text, numbers never join across them."""
+    fields = (
+        ("capacity_totals", "source_text", "total_id", F.col("source_text")),
+        ("saved_cases", "specification_es", "case_id", F.col("specification_es")),
+        ("capacity_context", "feature_bullets_raw", "context_id", F.array_join("feature_bullets_raw", "\n")),
+    )
+    parts = [
+        read(spark, sf_dir, table).select(F.lit(field).alias("field_name"), F.lit(i).alias("source"), F.col(key).alias("record_id"), text.alias("text"))
+        for i, (table, field, key, text) in enumerate(fields)
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct quantities stated in each field, in g, ml or mm."""
+    found = convert_quantities(_statements(spark, sf_dir))
+    return found.filter("status <> 'review'").select("field_name", "record_id", "dimension", "value").distinct()
+
+
+def p6_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers whose missing unit the classifier is not sure of."""
+    return convert_quantities(_statements(spark, sf_dir)).filter("status = 'review'")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_wide, p3_found, p3_paths, p3_descendants, p5_found)}
+    return {f.__name__: f for f in (p1_found, p1_wide, p3_found, p3_paths, p3_descendants, p5_found, p6_found, p6_review)}
 
 
 _TREE = """
