@@ -33,7 +33,7 @@ LABELS = {
     "numero_piezas": ["numero de piezas", "n o de piezas", "no de piezas", "cantidad de piezas", "piezas", "number of pieces", "piece count"],
     "numero_pieza": ["numero de pieza", "n o de pieza", "no de pieza", "referencia del fabricante", "part number", "manufacturer part number"],
     "apto_lavavajillas": ["apto para lavavajillas", "apto lavavajillas", "lavable en lavavajillas", "dishwasher safe", "is dishwasher safe"],
-    "fecha_disponible": ["disponible desde", "fecha de disponibilidad", "producto disponible desde", "producto en amazon es desde", "date first available"],
+    "fecha_disponible": ["disponible desde", "fecha de disponibilidad", "producto disponible desde", "date first available"],
     "color": ["color", "color del producto", "colour"],
     "material": ["material", "material principal", "tipo de material"],
 }

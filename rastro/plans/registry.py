@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rastro.plans import problems
+from rastro.plans import problems, scalars
 
-MODULES = (problems,)
+MODULES = (problems, scalars)
 
 
 def queries() -> dict:
