@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rastro.plans import problems, scalars
+from rastro.plans import problems, relational, scalars
 
-MODULES = (problems, scalars)
+MODULES = (problems, scalars, relational)
 
 
 def queries() -> dict:
