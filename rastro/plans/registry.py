@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rastro.plans import problems, relational, scalars
+from rastro.plans import analytics, problems, quality, relational, scalars
 
-MODULES = (problems, scalars, relational)
+MODULES = (problems, scalars, relational, analytics, quality)
 
 
 def queries() -> dict:
