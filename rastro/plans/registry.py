@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rastro.plans import analytics, problems, quality, relational, scalars
+from rastro.plans import analytics, files, problems, quality, relational, scalars
 
-MODULES = (problems, scalars, relational, analytics, quality)
+MODULES = (problems, scalars, relational, analytics, quality, files)
 
 
 def queries() -> dict:

@@ -1,0 +1,159 @@
+"""Extraction from saved pages with the standard library's parser, in Arrow batches; a broken page gives nulls, never an error."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_VOID = {"br", "img", "input", "meta", "link", "hr", "area", "base", "col", "embed", "source", "track", "wbr"}
+
+
+class Node:
+    __slots__ = ("attrs", "children", "tag")
+
+    def __init__(self, tag: str, attrs: dict[str, str]):
+        self.tag, self.attrs, self.children = tag, attrs, []
+
+    def walk(self) -> Iterator[Node]:
+        stack = [self]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+
+    def text(self) -> str:
+        out, stack = [], [self]
+        while stack:
+            node = stack.pop()
+            if isinstance(node, str):
+                out.append(node)
+            elif node.tag not in ("script", "style"):
+                stack.extend(reversed(node.children))
+        return " ".join("".join(out).split())
+
+    def first(self, **want: str) -> Node | None:
+        return next((n for n in self.walk() if n.matches(**want)), None)
+
+    def all(self, **want: str) -> list[Node]:
+        return [n for n in self.walk() if n.matches(**want)]
+
+    def matches(self, tag: str = "", cls: str = "", attr: str = "") -> bool:
+        return (not tag or self.tag == tag) and (not cls or cls in self.attrs.get("class", "").split()) and (not attr or attr in self.attrs)
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Node("", {})
+        self.stack = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        node = Node(tag, {k: v or "" for k, v in attrs})
+        self.stack[-1].children.append(node)
+        if tag not in _VOID:
+            self.stack.append(node)
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag == tag:
+                del self.stack[i:]
+                return
+
+    def handle_data(self, data):
+        self.stack[-1].children.append(data)
+
+
+def parse(html: str | None) -> Node:
+    builder = _Builder()
+    if html:
+        builder.feed(html)
+        builder.close()
+    return builder.root
+
+
+def list_cards(html: str | None, source_type: str = "BEST_SELLERS") -> list[tuple]:
+    """``item, rank, href, title, price, rating, previous_rank`` of a list page's cards, adverts and hidden ones left out."""
+    out = []
+    for card in parse(html).all(attr="data-asin"):
+        if "ad" in card.attrs.get("class", "").split() or "hidden" in card.attrs:
+            continue
+        link, rank = card.first(tag="a"), card.first(cls="rank")
+
+        def text(cls: str, card: Node = card) -> str | None:
+            node = card.first(cls=cls)
+            return node.text() or None if node else None
+
+        digits = "".join(ch for ch in rank.text() if ch.isdigit()) if rank else ""
+        before = text("previous") if source_type == "MOVERS_SHAKERS" else None
+        out.append((card.attrs["data-asin"].strip().upper() or None, int(digits) if digits else None, link.attrs.get("href") if link else None, text("title"), text("price"), text("rating"), before))
+    return out
+
+
+def detail_fields(html: str | None) -> tuple:
+    """``title, brand, price, struck_price, rating, seller`` of a product page; what the page doesn't state is null."""
+    page = parse(html)
+
+    def text(cls: str) -> str | None:
+        node = page.first(cls=cls)
+        return node.text() or None if node else None
+
+    struck = next((n.text() for n in page.all(attr="data-a-strike") if n.text()), None)
+    return text("title"), text("brand"), text("price"), struck, text("rating"), text("seller")
+
+
+def attribute_rows(html: str | None) -> list[tuple]:
+    """``section, label, value, position`` of a page's attribute tables; positions count within a section."""
+    out = []
+    for table in parse(html).all(tag="table"):
+        place = 0
+        for row in table.all(tag="tr"):
+            cells = [n.text() for n in row.walk() if n.tag in ("th", "td")]
+            if len(cells) == 2:
+                out.append((table.attrs.get("id", ""), cells[0], cells[1], place))
+                place += 1
+    return out
+
+
+def navigation(html: str | None) -> list[tuple]:
+    """``depth, name, href`` of a page's nested navigation lists."""
+    out = []
+
+    def visit(node: Node, depth: int) -> None:
+        for child in node.children:
+            if isinstance(child, Node):
+                if child.tag == "a":
+                    out.append((depth, child.text(), child.attrs.get("href")))
+                visit(child, depth + (child.tag == "ul"))
+
+    for nav in parse(html).all(tag="nav"):
+        visit(nav, 0)
+    return out
+
+
+_SHAPES = {
+    "cards": (list_cards, ["item", "rank", "href", "title", "price", "rating", "previous_rank"], "item string, rank bigint, href string, title string, price string, rating string, previous_rank string"),
+    "details": (lambda h: [detail_fields(h)], ["title", "brand", "price", "struck_price", "rating", "seller"], "title string, brand string, price string, struck_price string, rating string, seller string"),
+    "attributes": (attribute_rows, ["section", "label", "value", "position"], "section string, label string, value string, position int"),
+    "navigation": (navigation, ["depth", "name", "href"], "depth int, name string, href string"),
+}
+
+
+def extract(pages: DataFrame, key: str, html: str, shape: str) -> DataFrame:
+    """Rows of one shape (``cards``, ``details``, ``attributes`` or ``navigation``) from each page, with the page's key."""
+    parser, names, schema = _SHAPES[shape]
+    kind = dict(pages.dtypes)[key]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(k, *r) for k, h in zip(frame[key], frame[html], strict=True) for r in parser(h)]
+            made = pd.DataFrame(rows, columns=[key, *names])
+            for n in ("rank", "position", "depth"):
+                if n in made:
+                    made[n] = made[n].astype("Int64" if n == "rank" else "Int32")
+            yield made
+
+    return pages.select(key, F.col(html)).mapInPandas(run, f"{key} {kind}, {schema}")
