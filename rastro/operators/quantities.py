@@ -116,9 +116,9 @@ def scan(text: str) -> tuple[str, list[Found]]:
 def _features(source: int, text: str, first: int, link: str, value: float, steps: int, last: Found) -> list[float]:
     before = _BEFORE.search(text[max(0, first - 40) : first])
     word = zlib.crc32(before[1].lower().encode()) % 32 if before else 32
-    near = _UNIT_ID[(last.base, last.factor)]
+    near, kind, dimension = _UNIT_ID[(last.base, last.factor)], _KINDS.index(link), list(DIMENSIONS).index(last.base)
     return [
-        _KINDS.index(link), list(DIMENSIONS).index(last.base), near, math.log10(value + 1e-3), math.log10(last.value + 1e-3), math.log10((value + 1e-3) / (last.value + 1e-3)),
+        kind * len(DIMENSIONS) + dimension, kind, dimension, near, math.log10(value + 1e-3), math.log10(last.value + 1e-3), math.log10((value + 1e-3) / (last.value + 1e-3)),
         float(value == int(value)), steps, source, word,
     ]
 
@@ -177,7 +177,7 @@ def fit_units(texts: DataFrame, sample_texts: int = SAMPLE_TEXTS, sample_rows: i
         few = part if few is None else few.unionAll(part)
     rows = few.select("source", "text").mapInPandas(_sampled, "x array<double>, y int").limit(sample_rows).toPandas()
     order = sorted(range(len(rows)), key=lambda i: (tuple(rows["x"][i]), rows["y"][i]))  # alike in whatever order the rows came
-    x = np.array([rows["x"][i] for i in order], float).reshape(len(order), -1)
+    x = np.array([rows["x"][i] for i in order], float).reshape(len(order), -1 if len(order) else 1)
     return Forest().fit(x, rows["y"].to_numpy()[order] if len(order) else np.empty(0))
 
 
