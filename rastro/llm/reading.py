@@ -149,7 +149,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def fit_formula(measures: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Formula:
     """The formula, fitted on at most ``rows`` rated documents (median of a document's ratings, each given once)."""
-    rated = labels.filter("reading_level between 1 and 5").distinct().groupBy("doc_id").agg(F.percentile("reading_level", F.lit(0.5)).alias("level"))
+    ratings = labels.select(*[c for c in ("doc_id", "rater", "reading_level", "rated_at") if c in labels.columns])
+    rated = ratings.filter("reading_level between 1 and 5").distinct().groupBy("doc_id").agg(F.percentile("reading_level", F.lit(0.5)).alias("level"))
     sample = (
         measures.filter("n_words > 0").join(rated, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("n_words", "n_sentences", "unfamiliar", "level").toPandas()
     )
