@@ -164,9 +164,17 @@ def restore_codes(text: Column, codes: Column) -> Column:
 def language_name(c: Column) -> Column:
     """The language whose own words a text uses most; ``Mixed`` if a second one comes to half of it, ``Unknown`` without any."""
     words = F.array_distinct(F.filter(F.split(F.lower(c), r"[^a-záéíóúüñçãõâêôà]+"), lambda w: F.length(w) > 1))
-    scores = F.array_sort(F.array(*[F.struct((-F.size(F.array_intersect(words, F.array(*map(F.lit, own))))).alias("n"), F.lit(name).alias("name")) for name, own in LANGUAGE_WORDS.items()]))
-    first, second = F.get(scores, 0), F.get(scores, 1)
-    return F.when(c.isNull() | (first["n"] == 0), "Unknown").when((second["n"] <= -2) & (second["n"] * 2 <= first["n"]), "Mixed").otherwise(first["name"])
+
+    def scores(w: Column) -> Column:
+        return F.array_sort(F.array(*[F.struct((-F.size(F.array_intersect(w, F.array(*map(F.lit, own))))).alias("n"), F.lit(name).alias("name")) for name, own in LANGUAGE_WORDS.items()]))
+
+    def verdict(s: Column) -> Column:
+        first, second = F.get(s, 0), F.get(s, 1)
+        return F.when(first["n"] == 0, "Unknown").when((second["n"] <= -2) & (second["n"] * 2 <= first["n"]), "Mixed").otherwise(first["name"])
+
+    # Arrays of one element bind the words and the scores, so that each is made once per row.
+    scored = F.transform(F.array(words), scores)
+    return F.when(c.isNull(), "Unknown").otherwise(F.get(F.transform(scored, verdict), 0))
 
 
 def detail_rows(c: Column) -> Column:

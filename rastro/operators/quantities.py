@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from rastro.functions.quantities import UNITS
 from rastro.functions.trees import Forest
+from rastro.session import spread
 
 SAMPLE_TEXTS = 4_000  # texts per field of which labelled statements are taken
 SAMPLE_ROWS = 20_000  # labelled statements at most
@@ -216,4 +217,4 @@ def convert_quantities(texts: DataFrame, *, forest: Forest | None = None, confid
     """
     forest = forest or fit_units(texts)
     schema = "field_name string, record_id bigint, dimension string, value bigint, confidence double, status string"
-    return texts.select("field_name", "source", "record_id", "text").mapInPandas(lambda it: _extract(it, forest, confident), schema)
+    return spread(texts.select("field_name", "source", "record_id", "text"), "record_id").mapInPandas(lambda it: _extract(it, forest, confident), schema)

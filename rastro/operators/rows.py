@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rastro.session import cut
+
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key in a stated order; the order must be total for the result to be determined."""
@@ -44,7 +46,7 @@ def quota(df: DataFrame, group: str, key: str, order: list[Column], share_of: st
 
     The groups are few and fixed (at most 1,000, checked); each step is distributed, and only the group names are listed.
     """
-    best = first_by(df, [group, key], order)
+    best = cut(first_by(df, [group, key], order))
     sizes = best.groupBy(group).agg(F.countDistinct(key).alias("n")).orderBy("n", group).limit(1_001).collect()
     if len(sizes) > 1_000:
         raise ValueError("more than 1,000 groups: a quota is set per named group")
@@ -55,6 +57,6 @@ def quota(df: DataFrame, group: str, key: str, order: list[Column], share_of: st
         if taken is not None:
             mine = mine.join(taken.select(key), key, "left_anti").select(best.columns)
         capped = first_by(mine, [share_of], order, cap)
-        chosen = first_by(capped, [group], order, quota)
+        chosen = cut(first_by(capped, [group], order, quota))
         taken = chosen if taken is None else taken.unionByName(chosen)
     return taken if taken is not None else best

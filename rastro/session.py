@@ -47,3 +47,9 @@ def cut(df: DataFrame) -> DataFrame:
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One test table."""
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in enough partitions for work that is heavy on CPU; rows are moved only if the scan gives too few."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(4 * cores, key)

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rastro.session import spread
+
 _VOID = {"br", "img", "input", "meta", "link", "hr", "area", "base", "col", "embed", "source", "track", "wbr"}
 
 
@@ -156,4 +158,4 @@ def extract(pages: DataFrame, key: str, html: str, shape: str) -> DataFrame:
                     made[n] = made[n].astype("Int64" if n == "rank" else "Int32")
             yield made
 
-    return pages.select(key, F.col(html)).mapInPandas(run, f"{key} {kind}, {schema}")
+    return spread(pages.select(key, F.col(html)), key).mapInPandas(run, f"{key} {kind}, {schema}")
