@@ -351,6 +351,38 @@ def ht10_title_proof(t):
     return r.select("listing_id", (c("title").isNotNull() & ~F.coalesce(F.lower("title").rlike("^(patrocinado|anuncio)"), F.lit(False))).alias("proven"))
 
 
+@query("SELECT event_id, props AS json FROM events")
+def js2_embedded_json(t):
+    from rastro.operators.capacities import embedded_json
+
+    page = F.concat(F.lit("<script>var a = {}; window.data = "), c("props"), F.lit("; if (x) { y = [1] }</script>"))
+    return embedded_json(t("events").select("event_id", page.alias("html")), "event_id", "html", "window.data =")
+
+
+@query("SELECT n_nationkey, sha256('{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || '}') AS digest FROM nation")
+def ha1_canonical_digest(t):
+    rows = small_part(t).select("n_nationkey", "n_name")
+    return rows.select("n_nationkey", F.sha2(writers.row_text(rows), 256).alias("digest"))
+
+
+_UNIT = "(?:mg|g|gr|kg|ml|cl|dl|l|L|mm|cm|m)"
+_NUM = "[0-9]+(?:[.,][0-9]+)*"
+
+
+@query(f"SELECT case_id, CAST(len(regexp_extract_all(specification_es, '{_NUM}')) AS INT) AS numbers, CAST(len(s) AS INT) AS with_unit, CAST(len(regexp_extract_all(specification_es, '{_NUM} ?{_UNIT}/')) AS INT) AS rates, CAST(len(s) - len(list_distinct(s)) AS INT) AS repeated, CAST(len(regexp_extract_all(specification_es, '[0-9]{_UNIT}\\b')) AS INT) AS glued FROM (SELECT *, regexp_extract_all(specification_es, '{_NUM} ?{_UNIT}\\b') AS s FROM saved_cases)")
+def sp9_numeric_profile(t):
+    from rastro.operators.capacities import numeric_profile
+
+    return t("saved_cases").select("case_id", numeric_profile(c("specification_es")).alias("p")).select("case_id", "p.*")
+
+
+@query(None)
+def sp10_capacity_proofs(t):
+    from rastro.operators.capacities import capacity_proofs
+
+    return capacity_proofs(t("capacity_totals").select(c("total_id").alias("record_id"), c("source_text").alias("text")))
+
+
 # ---- streams and folds ------------------------------------------------------------------------------------------
 
 
