@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rastro.session import cut
+from rastro.session import cut, spread
 
 LANGUAGES = ("es", "en", "pt")
 SHARES = (0.2, 0.25, 0.3, 0.35, 0.4)  # candidates: a word in at least this share of the documents is familiar
@@ -81,8 +81,8 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def familiar_words(documents: DataFrame, share: float = min(SHARES)) -> dict[str, dict[str, float]]:
     """Per language, the words in at least ``share`` of its documents, with that share; over all documents."""
-    known = documents.filter(F.col("lang").isin(*LANGUAGES)).select("lang", "text")
-    counts = cut(known.mapInPandas(_count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    known = documents.filter(F.col("lang").isin(*LANGUAGES)).select("doc_id", "lang", "text")
+    counts = cut(spread(known, "doc_id").select("lang", "text").mapInPandas(_count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")))
     totals = {r.lang: r.n for r in counts.filter("word = ''").collect()}
     least = F.lit(0.0)
     for lang, n in totals.items():
@@ -121,7 +121,7 @@ def measure(documents: DataFrame, lists: dict[str, dict[str, float]]) -> DataFra
     shared = documents.sparkSession.sparkContext.broadcast(lists)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
     schema = "doc_id bigint, lang string, n_words bigint, n_sentences bigint, unfamiliar array<double>"
-    return rows.mapInPandas(lambda it: _measure(it, shared), schema)
+    return spread(rows, "doc_id").mapInPandas(lambda it: _measure(it, shared), schema)
 
 
 @dataclass(frozen=True)
