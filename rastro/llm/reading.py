@@ -27,6 +27,7 @@ MAX_FAMILIAR = 200_000  # words in at least a fifth of the documents are few: th
 _FLUSH = 200_000
 
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
+_MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")  # combining accents of alphabets read word by word
 _WORD = re.compile(r"[^\W\d_]+")
 _END = re.compile(r"[.!?…。！？]+(?=\s|$)|\n+|[✓✔•●▪■◦‣]")
 _HEAD = re.compile(r"\s*(.{1,400}?)(?::\s|\n|\.\s)", re.DOTALL)
@@ -36,7 +37,7 @@ _HAN = re.compile("[㐀-鿿豈-﫿]")
 def _folded(text: str) -> str:
     """Compatibility forms resolved, accents and invisible characters removed."""
     flat = unicodedata.normalize("NFKD", _INVISIBLE.sub("", text))
-    return flat if flat.isascii() else "".join(c for c in flat if unicodedata.category(c) != "Mn")
+    return flat if flat.isascii() else _MARKS.sub("", flat)
 
 
 def without_heading(text: str) -> str:
