@@ -149,9 +149,19 @@ def canonical_texts(texts: DataFrame) -> DataFrame:
 
 
 def same_looking_pairs(texts: DataFrame) -> DataFrame:
-    """``field_name, id_a, id_b``: records of one field whose stored texts differ but look the same (``id_a < id_b``)."""
-    canon = cut(canonical_texts(texts).withColumn("look", F.sha2("canonical", 256)).drop("canonical"))
-    groups = canon.groupBy("field_name", "look").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("field_name", "look")
-    members = canon.join(groups, ["field_name", "look"])
-    a, b = members.withColumnRenamed("record_id", "id_a").withColumnRenamed("text", "text_a"), members.withColumnRenamed("record_id", "id_b").withColumnRenamed("text", "text_b")
-    return a.join(b, ["field_name", "look"]).filter("id_a < id_b and text_a <> text_b").select("field_name", "id_a", "id_b").distinct()
+    """``field_name, id_a, id_b``: records of one field whose stored texts differ but look the same (``id_a < id_b``).
+
+    Different stored texts are paired first, and only then their records: a text that a third of all records share makes
+    no pairs with itself on the way, so no more rows come up than the result has.
+    """
+    canon = canonical_texts(texts).select("field_name", "record_id", F.sha2("text", 256).alias("stored"), F.sha2("canonical", 256).alias("look"))
+    canon = cut(canon)
+    forms = canon.select("field_name", "look", "stored").distinct()
+    several = forms.groupBy("field_name", "look").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("field_name", "look")
+    forms = cut(forms.join(several, ["field_name", "look"]))
+    one, other = forms.withColumnRenamed("stored", "one"), forms.withColumnRenamed("stored", "other")
+    pairs = one.join(other, ["field_name", "look"]).filter("one < other").select("field_name", "one", "other")
+    members = canon.join(forms.select("field_name", "stored"), ["field_name", "stored"], "left_semi").select("field_name", "record_id", "stored")
+    first = pairs.join(members.select("field_name", F.col("stored").alias("one"), F.col("record_id").alias("x")), ["field_name", "one"])
+    both = first.join(members.select("field_name", F.col("stored").alias("other"), F.col("record_id").alias("y")), ["field_name", "other"]).filter("x <> y")
+    return both.select("field_name", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
