@@ -6,6 +6,8 @@ import atexit
 import os
 import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +46,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once a session, where neither their path nor their folder has it already."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    on_path = [Path(p or ".").resolve() for p in (*os.environ.get("PYTHONPATH", "").split(os.pathsep), "")]
+    if root in on_path or getattr(context, "_rastro_shipped", False):
+        return
+    place = tempfile.mkdtemp(prefix="rastro-package-")  # read by the driver's file server only
+    atexit.register(shutil.rmtree, place, ignore_errors=True)
+    with zipfile.ZipFile(f"{place}/rastro.zip", "w") as archive:
+        for file in sorted((root / "rastro").rglob("*.py")):
+            archive.write(file, file.relative_to(root))
+    context.addPyFile(f"{place}/rastro.zip")
+    context._rastro_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One test table."""
+    ship_package(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
 
 
