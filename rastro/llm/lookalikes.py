@@ -58,9 +58,12 @@ def _dominant(text: str) -> str | None:
 
 
 def _swap(token: str, script: str) -> str | None:
-    """``token`` with every letter of another script replaced by its look-alike in ``script``; None if one has none."""
+    """``token`` with every letter of another script replaced by its look-alike in ``script``; None if one has none.
+
+    Accents are taken off their letters for this and put back after it, so that they compose with the new letters.
+    """
     out = []
-    for c in token:
+    for c in unicodedata.normalize("NFD", token):
         own = next((s for s, p in _SCRIPT_OF.items() if p.match(c)), None)
         if own in (None, script):
             out.append(c)
@@ -70,7 +73,7 @@ def _swap(token: str, script: str) -> str | None:
         if to is None:
             return None
         out.append(to)
-    return "".join(out)
+    return unicodedata.normalize("NFC", "".join(out))
 
 
 def suspicions(text: str) -> dict[str, list[str]]:

@@ -57,3 +57,10 @@ def test_edges(spark):
     clash = spark.createDataFrame([("f", 1, "a b", "s", "l"), ("f", 2, "a b", "s", "l")], SCHEMA + ", shown string, look string")
     assert same_looking_pairs(clash).count() == 1
     assert {r.record_id for r in canonical_texts(clash).collect()} == {1, 2}
+
+
+def test_swapped_letters_keep_their_accents(spark):
+    combining, composed = "Jab\u043e\u0301n de mano", "Jab\u03ccn de mano"  # Cyrillic o and U+0301; Greek omicron with tonos
+    assert pairs(spark, "Jab\u00f3n de mano", combining, composed) == {(0, 1), (0, 2), (1, 2)}
+    assert pairs(spark, "Jabon de mano", combining, "Jab\u00f2n de mano") == set()
+    assert pairs(spark, "\u0451лка и \u0457жак", "\u00ebлка и \u00efжак") == {(0, 1)}  # Latin into Cyrillic
