@@ -174,3 +174,17 @@ def descendants(hierarchy: DataFrame) -> DataFrame:
     """
     pairs = hierarchy.filter(~F.col("in_circle")).select("node", "depth", F.posexplode("path").alias("at", "ancestor"))
     return pairs.filter(F.col("at") < F.col("depth")).select("ancestor", "node", (F.col("depth") - F.col("at")).alias("distance"))
+
+
+def crawl_frontier(links: DataFrame, now: Column, retry_at: str = "next_retry_at") -> DataFrame:
+    """``placement_id, level``: what a breadth-first crawl has to fetch next, ``level`` steps from a seed.
+
+    ``links`` holds one row per placement, with ``parent_placement_id``, ``status`` and the time of the next try. Due are the
+    PENDING ones, and those in RETRY_WAIT whose time isn't after ``now`` or isn't known. A placement that no seed (a
+    placement without a parent) leads to, because its parent isn't in the table or it hangs on a circle, is never reached.
+    """
+    seeds = links.filter(F.coalesce("parent_placement_id", F.lit("")) == "").select(F.col("placement_id").alias("root"))
+    reached = resolve_hierarchy(links, paths=False).filter("not in_circle").join(seeds, "root", "left_semi")
+    waits = (F.col("status") == "RETRY_WAIT") & F.coalesce(F.col(retry_at) <= now, F.lit(True))
+    due = links.filter((F.col("status") == "PENDING") | waits).select("placement_id")
+    return due.join(reached.select(F.col("node").alias("placement_id"), F.col("depth").cast("bigint").alias("level")), "placement_id")

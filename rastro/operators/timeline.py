@@ -80,3 +80,12 @@ def sightings(rows: DataFrame, keys: list[str], item: str, day: str, order: list
     first = F.min(day).over(Window.partitionBy(*keys, item))
     at = F.row_number().over(Window.partitionBy(*keys, item, day).orderBy(*order))
     return rows.withColumn("sighting", F.when(at > 1, "REUSED_SAME_DAY").when(F.col(day) > first, "REUSED_OTHER_DAY").otherwise("FIRST_SEEN"))
+
+
+def latest_widest_pages(captures: DataFrame, source: list[str], frame: list[str], at: str, page: str, size: str, latest: int) -> DataFrame:
+    """The ``latest`` newest frames of a source, each with its retained page: that of the largest capture, of equal ones the
+    greatest ``page``. A null size is smaller than any other. Columns ``source, frame, at, page, size``."""
+    best = captures.groupBy(*source, *frame, at).agg(F.max(F.struct(F.col(size), F.col(page))).alias("_b"))
+    newest = Window.partitionBy(*source).orderBy(F.desc(at), *frame)
+    kept = best.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= latest)
+    return kept.select(*source, *frame, at, F.col(f"_b.{page}").alias(page), F.col(f"_b.{size}").alias(size))

@@ -488,6 +488,12 @@ def wn22_widest_capture(t):
     return t("identity_candidates").groupBy("snapshot_id", "asin").agg(F.length(F.max(F.coalesce("raw_href", F.lit("")))).cast("bigint").alias("widest"))
 
 
+@query("SELECT source_url, observed_at, arg_max(snapshot_id, (n, snapshot_id)) AS snapshot_id, max(n) AS n FROM (SELECT source_url, observed_at, snapshot_id, count(*) AS n FROM identity_candidates WHERE source_url IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY observed_at DESC NULLS LAST) <= 3")
+def wn22_retained_pages(t):
+    pages = t("identity_candidates").filter("source_url is not null").groupBy("source_url", "observed_at", "snapshot_id").agg(F.count(F.lit(1)).alias("n"))
+    return tl.latest_widest_pages(pages, ["source_url"], [], "observed_at", "snapshot_id", "n", 3)
+
+
 @query(f"SELECT page, rank + 1 AS from_value, nx - 1 AS to_value FROM (SELECT page, rank, lead(rank) OVER (PARTITION BY page ORDER BY rank) AS nx FROM (SELECT DISTINCT page, rank FROM {CARD} WHERE rank IS NOT NULL)) WHERE nx > rank + 1")
 def wn23_missing_ranges(t):
     return tl.missing_ranges(cards(t).filter("rank is not null").select("page", "rank").distinct(), ["page"], "rank")

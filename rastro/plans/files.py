@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rastro.functions.dates import MADRID
 from rastro.operators import joins
 from rastro.operators.quality import chain_breaks
-from rastro.session import read, shared_folder
+from rastro.session import cut, read, shared_folder
 from rastro.sources import html, readers, writers
 from rastro.streaming import catalogue as st
 
@@ -443,6 +443,12 @@ def sta8_idempotent_batches(t):
     return t("events").select("event_type", "user_id").distinct().groupBy("event_type").agg(F.count(F.lit(1)).alias("batches"))
 
 
+@query("WITH RECURSIVE b AS (SELECT user_id, event_type, count(DISTINCT event_id) AS observations, row_number() OVER (PARTITION BY user_id ORDER BY min(ts), event_type) AS o FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2), r AS (SELECT user_id, event_type, observations, o, CASE WHEN observations <= 30 THEN observations ELSE 0 END AS spent, observations <= 30 AS accepted FROM b WHERE o = 1 UNION ALL SELECT b.user_id, b.event_type, b.observations, b.o, r.spent + CASE WHEN r.spent + b.observations <= 30 THEN b.observations ELSE 0 END, r.spent + b.observations <= 30 FROM r JOIN b ON b.user_id = r.user_id AND b.o = r.o + 1) SELECT user_id, event_type, observations, spent, accepted FROM r")
+def sta8_batch_budget(t):
+    e = t("events").select("user_id", "event_type", "event_id", "ts")
+    return st.accepted_batches(e.unionAll(e.filter("event_id % 3 = 0")), "event_type", "event_id", "user_id", "ts", 30)
+
+
 @query("WITH e AS (SELECT user_id, event_id, CASE event_type WHEN 'error' THEN 'undo' WHEN 'purchase' THEN 'same' ELSE 'different' END AS k FROM events), w AS (SELECT *, sum(CASE WHEN k = 'undo' THEN -1 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS s FROM e), d AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY user_id ORDER BY event_id)) AS d FROM w), m AS (SELECT *, min(d) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM d) SELECT user_id, arg_max(k, event_id) AS decision FROM m WHERE k <> 'undo' AND coalesce(after, d) >= d GROUP BY 1")
 def sta9_identity_replay(t):
     kind = F.when(c("event_type") == "error", "undo").when(c("event_type") == "purchase", "same").otherwise("different")
@@ -499,6 +505,15 @@ def sta17_frontier_counts(t):
     return st.run_to_end(stream(t).groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "complete")
 
 
+@query(f"WITH RECURSIVE p AS (SELECT placement_id, nullif(first_up, '') AS up, status, seen FROM (SELECT placement_id, parent_placement_id AS first_up, status, last_seen_at AS seen FROM category_placements WHERE placement_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY placement_id ORDER BY last_seen_at DESC, parent_placement_id DESC NULLS LAST, status DESC) = 1)), r AS (SELECT placement_id, CAST(0 AS BIGINT) AS level FROM p WHERE up IS NULL UNION ALL SELECT p.placement_id, r.level + 1 FROM r JOIN p ON p.up = r.placement_id) SELECT placement_id, level FROM r JOIN p USING (placement_id) WHERE status = 'PENDING' OR status = 'RETRY_WAIT' AND seen + INTERVAL 2 DAY <= TIMESTAMP '2026-05-08 00:00:00'")
+def sta17_crawl_frontier(t):
+    from rastro.operators.hierarchy import crawl_frontier
+
+    best = t("category_placements").filter("placement_id is not null").groupBy("placement_id").agg(F.max(F.struct("last_seen_at", "parent_placement_id", "status")).alias("b")).select("placement_id", "b.*")
+    due = best.withColumn("next_retry_at", c("last_seen_at") + F.expr("INTERVAL 2 DAYS"))
+    return crawl_frontier(cut(due), F.lit("2026-05-08 00:00:00").cast("timestamp_ntz"))
+
+
 @query("SELECT count(*) >= 5000 AS reached, count(*) FILTER (WHERE event_type = 'error') > 100 AS stop FROM events")
 def sta18_stop_conditions(t):
     out = st.run_to_end(st.running_counts(stream(t), ["event_type"], "value"), "complete")

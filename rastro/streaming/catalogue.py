@@ -134,6 +134,32 @@ def budget_states(reservations: DataFrame, account: str, order: list[Column], re
     return reservations.withColumn("spent", spent).withColumn("fits", F.col("spent") <= limit)
 
 
+def accepted_batches(observations: DataFrame, batch: str, observation: str, account: str, at: str, limit: int) -> DataFrame:
+    """``account, batch, observations, spent, accepted``: one row per batch of an account, delivered once or repeatedly.
+
+    A batch counts once however often it is delivered, in the order of its first delivery (then of its id). It is accepted
+    if its observations still fit the account's ``limit``; a batch that doesn't is refused and uses nothing, so that a
+    smaller one behind it may fit. ``spent`` is the account's use after the batch. Accounts are sorted, not gathered.
+    """
+    kinds = dict(observations.dtypes)
+    batches = observations.groupBy(account, batch).agg(F.countDistinct(observation).alias("observations"), F.min(at).alias("_at"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, spent = None, 0
+        for frame in frames:
+            totals, fits = [], []
+            for who, n in zip(frame[account], frame["observations"], strict=True):
+                if who != now:
+                    now, spent = who, 0
+                fits.append(spent + n <= limit)
+                spent += n if fits[-1] else 0
+                totals.append(spent)
+            yield frame.drop(columns="_at").assign(spent=totals, accepted=fits)
+
+    shape = f"{account} {kinds[account]}, {batch} {kinds[batch]}, observations bigint, spent bigint, accepted boolean"
+    return batches.filter(F.col(account).isNotNull()).repartition(account).sortWithinPartitions(account, "_at", batch).mapInPandas(run, shape)
+
+
 def merge_shards(rows: DataFrame, keys: list[str], source_digest: str, stamp: str, value: str) -> DataFrame:
     """Latest value per key, only from rows made of the key's latest source; with how many versions were seen."""
     best = rows.groupBy(*keys).agg(F.max(F.struct(stamp, source_digest, value)).alias("b"), F.countDistinct(value).alias("versions"))
