@@ -11,6 +11,7 @@ makers must agree as far as they are named. Listings with equal tokens are one c
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ RARE_SHARE, RARE_ROWS = 0.003, 12  # so does a word in at most this share, or nu
 FEW_MAKERS = 0.7  # ... if it stands with fewer makers than this share of its listings
 CODE_WEIGHT = 2.0  # a model code weighs as much as two words of its rarity
 BROADCAST_WORDS = 100_000
-MAX_ROUNDS = 50
+COMPACT_ROUNDS = 20  # after so many rounds of clustering their results become one table
 
 # Colour names in both languages, folded.
 COLOURS = {
@@ -145,25 +146,31 @@ def same_product_edges(classes: DataFrame, contained: float = CONTAINED) -> Data
 
 def star_clusters(edges: DataFrame) -> DataFrame:
     """``class_id, centre``: in rounds, every class with more neighbours than any free neighbour becomes a centre, and its
-    free neighbours its satellites (of several centres they take the one with most neighbours). Ties go to the lower id."""
+    free neighbours its satellites (of several centres they take the one with most neighbours). Ties go to the lower id.
+
+    Every round settles at least the first of the free classes, and rounds go on until none is free. Edges of a class with
+    itself, or with a null, are ignored.
+    """
+    edges = edges.filter("a <> b")
     both = cut(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     rank = degree.select(F.col("a").alias("class_id"), F.struct(F.col("n"), (-F.col("a")).alias("low")).alias("rank"))
     free = cut(both.join(rank.withColumnRenamed("class_id", "a").withColumnRenamed("rank", "rank_a"), "a").join(rank.withColumnRenamed("class_id", "b").withColumnRenamed("rank", "rank_b"), "b"))
     done: DataFrame | None = None
     nodes = cut(rank)
-    for _ in range(MAX_ROUNDS):
+    for round_no in itertools.count(1):
         top = free.groupBy("a").agg(F.max("rank_b").alias("best"))
         centres = nodes.join(top, nodes["class_id"] == top["a"], "left").filter(F.col("best").isNull() | (F.col("rank") > F.col("best"))).select("class_id")
         taken = free.join(centres.withColumnRenamed("class_id", "b"), "b").groupBy("a").agg(F.max("rank_b").alias("best")).select(F.col("a").alias("class_id"), (-F.col("best.low")).alias("centre"))
         round_ = cut(centres.select("class_id", F.col("class_id").alias("centre")).unionAll(taken))
         done = round_ if done is None else done.unionAll(round_)
+        if round_no % COMPACT_ROUNDS == 0:
+            done = cut(done.coalesce(8))
         gone = round_.select("class_id")
         nodes = cut(nodes.join(gone, "class_id", "left_anti"))
         if not nodes.take(1):
             return done
         free = cut(free.join(gone.withColumnRenamed("class_id", "a"), "a", "left_anti").join(gone.withColumnRenamed("class_id", "b"), "b", "left_anti"))
-    return done.unionAll(nodes.select("class_id", F.col("class_id").alias("centre")))
 
 
 def group_listings(listings: DataFrame, contained: float = CONTAINED) -> DataFrame:

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+from rastro.llm import listings
 from rastro.llm.listings import group_listings, maker_key, parse_title, same_product_edges, same_product_pairs, star_clusters
 
 SCHEMA = "listing_id bigint, title string, brand string, ingested_at timestamp_ntz"
@@ -68,3 +69,13 @@ def test_stars(spark):
     edges = [(1, 2), (1, 3), (1, 4), (5, 4), (5, 6), (7, 8)]
     got = {r.class_id: r.centre for r in star_clusters(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5, 7: 7, 8: 7}
+
+
+def test_stars_need_as_many_rounds_as_they_need(spark, monkeypatch):
+    monkeypatch.setattr(listings, "MAX_ROUNDS", 3, raising=False)
+    monkeypatch.setattr(listings, "COMPACT_ROUNDS", 2, raising=False)
+    ring = [(i, i % 20 + 1) for i in range(1, 21)]  # equal degrees, ascending ids: one more centre a round
+    got = {r.class_id: r.centre for r in star_clusters(spark.createDataFrame(ring, "a bigint, b bigint")).collect()}
+    assert len(got) == 20
+    assert all(got[got[k]] == got[k] for k in got) and all(got[k] == k or (k, got[k]) in ring or (got[k], k) in ring for k in got)
+    assert not any(got[a] == a and got[b] == b for a, b in ring)  # no two centres are neighbours
