@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,7 +17,8 @@ _NOUN = r"(?:contenedor(?:es)?|recipientes?|compartimentos?|bolsas?|cajas?|tazas
 _NUMERALS = {"un": 1, "una": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9, "diez": 10, "once": 11, "doce": 12}
 _COUNTED = re.compile(rf"\b(\d{{1,3}}|{'|'.join(_NUMERALS)})\s+{_NOUN}\s+(?:de\s+)?$|\b(\d{{1,3}})\s*[x×]\s*$", re.IGNORECASE)
 _TOTAL = re.compile(r"(?:capacidad|volumen|contenido)\s+total\s*(?:de|:)?\s*$|\ben\s+total\s*:?\s*$", re.IGNORECASE)
-_DENIED = re.compile(r"\b(?:no\s+(?:incluye|contiene|tiene)|sin\s+incluir|por\s+ejemplo)\b[^.;\n]*$", re.IGNORECASE)
+_DENIED = re.compile(r"\b(?:no\s+(?:incluye|contiene|tiene)|sin\s+incluir|por\s+ejemplo)(?![^\W\d])", re.IGNORECASE)
+_CLAUSE_END = re.compile(r"[.;\n]")
 NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
 
 
@@ -43,13 +45,15 @@ def capacity_proof(text: str | None) -> tuple[str, int | None, int | None]:
     if not text:
         return "UNPROVEN", None, None
     read, numbers = scan(text)
+    denials, ends = ([m.end() for m in p.finditer(read)] for p in (_DENIED, _CLAUSE_END))
     totals: set[int] = set()
     parts: list[int] = []
     for n in numbers:
         if n.base != "ml":
             continue
         before = read[max(0, n.start - 80) : n.start]
-        if _DENIED.search(before):
+        denial, end = bisect_right(denials, n.start), bisect_right(ends, n.start)
+        if denial and (not end or denials[denial - 1] > ends[end - 1]):  # denied since the clause began
             continue
         amount = int(n.value * n.factor + 0.5)
         counted = _COUNTED.search(before)

@@ -16,6 +16,13 @@ def test_capacity_proof(text, wanted):
     assert capacity_proof(text) == wanted
 
 
+def test_denials_reach_back_to_the_start_of_the_clause():
+    far = "no incluye " + "los accesorios de la imagen, ni tampoco " * 4
+    assert capacity_proof(f"Capacidad total de 2 l; {far}2 vasos de 1 l") == ("UNPROVEN", 2000, None)
+    assert capacity_proof(f"{far}capacidad total de 2 l. 2 vasos de 1 l") == ("UNPROVEN", None, 2000)
+    assert capacity_proof(f"{far}nada. Capacidad total de 2 l, 2 vasos de 1 l") == ("PROVEN", 2000, 2000)
+
+
 def test_json_after():
     value = {"a": [1, {"b": "}\"]"}], "c": None}
     assert json.loads(json_after(f"x {{}} data = {json.dumps(value)}; }}", "data =")) == value
