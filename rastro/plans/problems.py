@@ -62,15 +62,18 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts of problem 6; bullets are lines of one text, numbers never join across them."""
+    """The texts of problem 6, with the field they come from as category and the record's other text beside them.
+
+    Bullets are lines of one text: numbers never join across them.
+    """
     fields = (
-        ("capacity_totals", "source_text", "total_id", F.col("source_text")),
-        ("saved_cases", "specification_es", "case_id", F.col("specification_es")),
-        ("capacity_context", "feature_bullets_raw", "context_id", F.array_join("feature_bullets_raw", "\n")),
+        ("capacity_totals", "source_text", "total_id", F.col("source_text"), "title_from_saved_html"),
+        ("saved_cases", "specification_es", "case_id", F.col("specification_es"), "title_es_raw"),
+        ("capacity_context", "feature_bullets_raw", "context_id", F.array_join("feature_bullets_raw", "\n"), "product_description_raw"),
     )
     parts = [
-        read(spark, sf_dir, table).select(F.lit(field).alias("field_name"), F.lit(i).alias("source"), F.col(key).alias("record_id"), text.alias("text"))
-        for i, (table, field, key, text) in enumerate(fields)
+        read(spark, sf_dir, table).select(F.lit(field).alias("field_name"), F.col(key).alias("record_id"), text.alias("text"), F.col("field").alias("category"), F.col(beside).alias("beside"))
+        for table, field, key, text, beside in fields
     ]
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 

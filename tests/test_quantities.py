@@ -31,7 +31,7 @@ TRAINING = [
 
 @pytest.fixture(scope="module")
 def forest(spark):
-    return fit_units(spark.createDataFrame([("f", i % 3, i, t) for i, t in enumerate(TRAINING)], SCHEMA))
+    return fit_units(spark.createDataFrame([(f"f{i % 3}", 0, i, t) for i, t in enumerate(TRAINING)], SCHEMA))
 
 
 def found(spark, forest, *texts):
@@ -69,11 +69,37 @@ def test_forest_is_calibrated():
     x = rng.random((4000, 3))
     y = (rng.random(4000) < np.where(x[:, 0] > 0.5, 0.8, 0.1)).astype(float)
     f = Forest().fit(x[:3000], y[:3000])
-    p = f.predict(x[3000:])
+    top, sure, _ = f.predict(x[3000:])
+    p = np.where(top == 1, sure, 1 - sure)
     assert abs(p.mean() - y[3000:].mean()) < 0.05
     assert abs(p[x[3000:, 0] > 0.55].mean() - 0.8) < 0.07 and abs(p[x[3000:, 0] < 0.45].mean() - 0.1) < 0.07
 
 
 def test_forest_without_classes():
-    assert Forest().fit(np.empty((0, 2)), np.empty(0)).predict(np.zeros((2, 2))).tolist() == [0, 0]
-    assert Forest().fit(np.zeros((5, 2)), np.ones(5)).predict(np.zeros((2, 2))).tolist() == [1, 1]
+    assert [v.tolist() for v in Forest().fit(np.empty((0, 2)), np.empty(0, int)).predict(np.zeros((2, 2)))[:2]] == [[-1, -1], [0, 0]]
+    assert [v.tolist() for v in Forest().fit(np.zeros((5, 2)), np.ones(5, int)).predict(np.zeros((2, 2)))[:2]] == [[1, 1], [1, 1]]
+
+
+def test_texts_without_labelled_numbers(spark):
+    few = spark.createDataFrame([("f", 0, 1, "sin datos"), ("f", 0, 2, "nada"), ("f", 0, 3, "Peso: 480")], SCHEMA)
+    assert [(r.record_id, r.dimension, r.value, r.status) for r in convert_quantities(few).collect()] == [(3, None, None, "review")]
+
+
+def test_every_field_is_learnt_from(spark):
+    texts = [(f"field{i % 5}", 0, i, f"Peso neto: {100 + 7 * i} g. Mide {i + 2} cm x {i + 9} cm. Nivel {i % 6} unidades") for i in range(400)]
+    df = spark.createDataFrame(texts, SCHEMA)
+    assert fit_units(df, sample_texts=40).nodes and fit_units(df, sample_rows=50).nodes
+
+
+def test_missing_units_by_name(spark):
+    """Labels that always go with one unit and size: held-out numbers without a unit are converted; unclear ones are reviewed."""
+    rng = np.random.default_rng(3)
+    texts = [f"Peso: {rng.integers(300, 900)} g\nAltura: {rng.integers(10, 60)} cm\nTalla {rng.integers(1, 9)} niveles\nTamaño {rng.integers(10, 60)} {'cm' if i % 2 else 'g'}" for i in range(400)]
+    forest = fit_units(spark.createDataFrame([("f", 0, i, t) for i, t in enumerate(texts)], SCHEMA))
+    asked = spark.createDataFrame([("f", 0, i, f"Peso: {400 + i}\nAltura: {20 + i % 30}\nTamaño {20 + i % 30}") for i in range(100)], SCHEMA)
+    rows = convert_quantities(asked, forest=forest).collect()
+    sure = [r for r in rows if r.status == "predicted"]
+    wanted = {(i, "mass", 400 + i) for i in range(100)} | {(i, "length", 10 * (20 + i % 30)) for i in range(100)}
+    right = [r for r in sure if (r.record_id, r.dimension, r.value) in wanted]
+    assert len(right) / len(sure) > 0.9 and len(right) > 150
+    assert sum(r.status == "review" for r in rows) > 50
