@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from rastro.session import cut
 
-SOLVE_ROWS = 50_000
+SOLVE_ROWS = 1_000
+PARTITION_ROWS = 50_000
 HOT_CHILDREN = 50_000  # more children than this: the join on their parent is salted
 _LOCAL = "id string, top string, top_d bigint, exit string, exit_d bigint, loop boolean, path array<string>"
 
@@ -143,7 +144,7 @@ def resolve_hierarchy(
     *,
     paths: bool = True,
     solve_rows: int = SOLVE_ROWS,
-    partition_rows: int = SOLVE_ROWS,
+    partition_rows: int = PARTITION_ROWS,
     hot_children: int = HOT_CHILDREN,
 ) -> DataFrame:
     """Each node's root, depth and path.

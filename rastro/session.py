@@ -31,6 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; a private one only where that is unset (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share: intermediate results must survive the loss of any of them")
         folder = f"file://{tempfile.mkdtemp(prefix='rastro-')}"
         atexit.register(shutil.rmtree, folder.removeprefix("file://"), ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)

@@ -5,7 +5,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from rastro.operators import snapshot_diff
-from rastro.operators.snapshot_diff import Bitmap, snapshot_changes
+from rastro.operators.snapshot_diff import Bitmap, advance_snapshot, empty_state, snapshot_changes
 
 CARDS = "snapshot_id string, asin string, rank int, rank_raw string, source_url string, ingested_at timestamp_ntz"
 SNAPS = "snapshot_id string, observed_at timestamp_ntz"
@@ -68,3 +68,30 @@ def test_bitmaps(a, b, dense):
     assert set(p.and_not(q).tolist()) == x - y
     assert set(q.and_not(p).tolist()) == y - x
     assert set(p.both(q).tolist()) == x & y
+
+
+def test_ranks_of_any_size(spark):
+    raw = ["#8.589.934.599", "#7", "#9.223.372.036.854.775.807", None]
+    rows = [(f"s{i + 1}", "A", None, r, "u", T) for i, r in enumerate(raw)] + [(f"s{i + 1}", "B", (-1, None, 0, -1)[i], None, "u", T) for i in range(4)]
+    found, _ = changes(spark, rows, "s1", "s2", "s3", "s4")
+    assert found == {(f"s{i}", "u", a, "changed") for i in (2, 3, 4) for a in "AB"}
+
+
+def test_stored_ordinals(spark, tmp_path):
+    """Deliveries taken one by one give the changes of all at once, and no key ever changes its ordinal."""
+    import random
+
+    rng = random.Random(4)
+    rows = [(f"s{i}", f"A{rng.randrange(60)}", rng.choice([None, *range(4)]), None, f"u{rng.randrange(5)}", T.replace(second=rng.randrange(50))) for i in range(1, 5) for _ in range(120)]
+    cards = spark.createDataFrame(rows, CARDS)
+    whole, _ = changes(spark, rows, "s1", "s2", "s3", "s4", "s5")
+    state, seen, got = empty_state(spark), {}, set()
+    for i in range(1, 6):
+        found, state = advance_snapshot(state, cards.filter(f"snapshot_id = 's{i}'"))
+        got |= {(f"s{i}", r.page_url, r.asin, r.change) for r in found.collect()}
+        state.write.parquet(f"{tmp_path}/{i}")
+        state = spark.read.parquet(f"{tmp_path}/{i}")
+        now = {(r.page_url, r.asin): r.ordinal for r in state.collect()}
+        assert now.items() >= seen.items() and sorted(now.values()) == list(range(len(now)))
+        seen = now
+    assert {g for g in got if g[0] != "s1"} == whole and {g[3] for g in got if g[0] == "s1"} == {"added"}
