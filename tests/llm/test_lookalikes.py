@@ -64,3 +64,16 @@ def test_swapped_letters_keep_their_accents(spark):
     assert pairs(spark, "Jab\u00f3n de mano", combining, composed) == {(0, 1), (0, 2), (1, 2)}
     assert pairs(spark, "Jabon de mano", combining, "Jab\u00f2n de mano") == set()
     assert pairs(spark, "\u0451лка и \u0457жак", "\u00ebлка и \u00efжак") == {(0, 1)}  # Latin into Cyrillic
+
+
+def test_joiners_between_pictures():
+    cook = "\U0001f469‍\U0001f373"
+    dirty = ["\U0001f469‍‌\U0001f373", "\U0001f469‌‍\U0001f373", "\U0001f469‍​\U0001f373‍", "\U0001f469‍‍\U0001f373"]
+    assert {shown(t) for t in dirty} == {cook} != {shown("\U0001f469‌\U0001f373")}
+    assert shown("a‍b‌c") == "abc" and shown("ن‌م") == "ن‌م"
+
+
+def test_each_step_is_marked(spark):
+    texts = ["casa cop nueva", "casa сор nueva", "cаsa nueva", "Lаpidabi", "Lapidаbi", "casa хе nueva"]
+    got = {r.record_id: (r.canonical, r.steps) for r in canonical_texts(spark.createDataFrame([("f", i, t) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    assert got == {0: (texts[0], []), 1: (texts[0], ["whole"]), 2: ("casa nueva", ["mixed"]), 3: ("Lapidabi", ["agreed"]), 4: ("Lapidabi", ["agreed"]), 5: (texts[5], [])}
