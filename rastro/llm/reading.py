@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 
 from rastro.session import cut, spread
 
-LANGUAGES = ("es", "en", "pt")
+NOT_STATED = ("", "und")
+MIN_DOCUMENTS = 5  # a language with fewer documents has no familiar words
 SHARES = (0.2, 0.25, 0.3, 0.35, 0.4)  # candidates: a word in at least this share of the documents is familiar
 LABEL_ROWS = 20_000  # rated documents the formula is fitted on, at most
-MAX_FAMILIAR = 200_000  # words in at least a fifth of the documents are few: their number is checked, then they are broadcast
+# A language's words in a fifth of its documents are at most five times as many as a document has different words on
+# average, however large the corpus is; their number is checked all the same, then they are broadcast.
+MAX_FAMILIAR = 1_000_000
 _FLUSH = 200_000
 
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
@@ -82,18 +85,17 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def familiar_words(documents: DataFrame, share: float = min(SHARES)) -> dict[str, dict[str, float]]:
     """Per language, the words in at least ``share`` of its documents, with that share; over all documents."""
-    known = documents.filter(F.col("lang").isin(*LANGUAGES)).select("doc_id", "lang", "text")
+    stated = F.coalesce("lang", F.lit(""))
+    known = documents.filter(~stated.isin(*NOT_STATED)).select("doc_id", "lang", "text")
     counts = cut(spread(known, "doc_id").select("lang", "text").mapInPandas(_count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    totals = {r.lang: r.n for r in counts.filter("word = ''").collect()}
-    least = F.lit(0.0)
-    for lang, n in totals.items():
-        least = F.when(F.col("lang") == lang, F.lit(share * n)).otherwise(least)
-    rows = counts.filter((F.col("word") != "") & (F.col("n") >= least)).limit(MAX_FAMILIAR + 1).collect()
+    totals = counts.filter((F.col("word") == "") & (F.col("n") >= MIN_DOCUMENTS)).select("lang", F.col("n").alias("documents"))
+    rows = counts.join(totals, "lang").filter(F.col("n") >= share * F.col("documents")).select("lang", "word", "n", "documents").limit(MAX_FAMILIAR + 1).collect()
     if len(rows) > MAX_FAMILIAR:
         raise ValueError(f"more than {MAX_FAMILIAR} familiar words: raise the share that makes a word familiar")
-    lists: dict[str, dict[str, float]] = {lang: {} for lang in totals}
+    lists: dict[str, dict[str, float]] = {r.lang: {} for r in rows}
     for r in rows:
-        lists[r.lang][r.word] = r.n / totals[r.lang]
+        if r.word:
+            lists[r.lang][r.word] = r.n / r.documents
     return lists
 
 
@@ -103,10 +105,11 @@ def _measure(frames: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
         out = []
         for doc, lang, text in zip(frame["doc_id"], frame["lang"], frame["text"], strict=True):
             words, sentences = read_text(text)
-            if not words or not lists:
+            stated = lang is not None and lang not in NOT_STATED
+            if not words or not lists or (stated and lang not in lists):
                 out.append((doc, None, 0, 0, None))
                 continue
-            if lang not in lists:  # not stated: the language whose familiar words make up most of the text
+            if not stated:  # the language whose familiar words make up most of the text
                 lang = max(sorted(lists), key=lambda k: sum(lists[k].get(w, 0.0) for w in words))
             own = lists[lang]
             degree = np.fromiter((own.get(w, 0.0) for w in words), float, len(words))
@@ -117,7 +120,8 @@ def _measure(frames: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
 def measure(documents: DataFrame, lists: dict[str, dict[str, float]]) -> DataFrame:
     """``doc_id, lang, n_words, n_sentences, unfamiliar``: shares of words outside the list of each of ``SHARES``.
 
-    ``lang`` is null and the counts 0 where there is nothing to rate: null, empty, blank or Chinese texts.
+    ``lang`` is null and the counts 0 where there is nothing to rate: null, empty, blank or Chinese texts, and texts in a
+    language without a list.
     """
     shared = documents.sparkSession.sparkContext.broadcast(lists)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
@@ -148,15 +152,15 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit_formula(measures: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Formula:
-    """The formula, fitted on at most ``rows`` rated documents (median of a document's ratings, each given once)."""
+def fit_formula(measures: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Formula | None:
+    """The formula, fitted on at most ``rows`` rated documents (median of a document's ratings, each given once); None without any."""
     ratings = labels.select(*[c for c in ("doc_id", "rater", "reading_level", "rated_at") if c in labels.columns])
     rated = ratings.filter("reading_level between 1 and 5").distinct().groupBy("doc_id").agg(F.percentile("reading_level", F.lit(0.5)).alias("level"))
     sample = (
         measures.filter("n_words > 0").join(rated, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("n_words", "n_sentences", "unfamiliar", "level").toPandas()
     )
     if sample.empty:
-        return Formula(SHARES.index(0.3), tuple((-float(k), 8.0, 0.5) for k in (2, 3, 4, 5)))
+        return None
     level = sample["level"].to_numpy(float)
     length = np.log(sample["n_words"].to_numpy(float) / sample["n_sentences"].to_numpy(float))
     shares = np.stack(sample["unfamiliar"].to_numpy())
@@ -186,23 +190,26 @@ def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, lang, n_words, sentence_length, unfamiliar, level, demanding`` of each row of ``documents``.
 
     ``level`` is the expected level on the scale of the labels (1 to 5), ``demanding`` whether 4 or 5 is more likely than
-    not. Both are null where there is nothing to rate: null, empty or blank texts, Chinese ones. Documents without a
-    stated language (null, ``und``, another) are rated in the language whose familiar words they use most. Repeated rows
-    give a row each, null ratings count for nothing, extra columns are ignored, empty tables give an empty result.
+    not. Both are null where there is nothing to rate (null, empty or blank texts, Chinese ones, texts in a language with
+    fewer than ``MIN_DOCUMENTS`` documents), and for all documents if none is rated. Documents without a stated language
+    (null, empty or ``und``) are rated in the language whose familiar words they use most. Repeated rows give a row each,
+    null ratings count for nothing, extra columns are ignored, empty tables give an empty result.
     """
     lists = familiar_words(documents)
     measures = cut(measure(documents, lists))
     formula = fit_formula(measures, labels)
     rated = F.col("n_words") > 0
-    level = F.lit(1.0)
-    for k in (2, 3, 4, 5):
-        level = level + formula.at_least(k)
+    level, demanding, share = F.lit(None).cast("double"), F.lit(None).cast("boolean"), F.lit(None).cast("double")
+    if formula:
+        level, demanding, share = F.lit(1.0), formula.at_least(4) >= 0.5, F.col("unfamiliar")[formula.cutoff]
+        for k in (2, 3, 4, 5):
+            level = level + formula.at_least(k)
     return measures.select(
         "doc_id",
         "lang",
         "n_words",
         F.when(rated, F.col("n_words") / F.col("n_sentences")).alias("sentence_length"),
-        F.when(rated, F.col("unfamiliar")[formula.cutoff]).alias("unfamiliar"),
+        F.when(rated, share).alias("unfamiliar"),
         F.when(rated, level).alias("level"),
-        F.when(rated, formula.at_least(4) >= 0.5).alias("demanding"),
+        F.when(rated, demanding).alias("demanding"),
     )

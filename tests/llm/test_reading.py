@@ -36,9 +36,21 @@ def test_nothing_to_rate(spark):
     rows = {r.doc_id: r for r in reading_levels(df, spark.createDataFrame([], LABELS)).collect()}
     assert all(rows[i].level is None and rows[i].demanding is None for i in range(1001, 1006))
     assert rows[1006].n_words == 1
+    assert all(r.level is None and r.demanding is None for r in rows.values())  # no ratings, no levels
     assert reading_levels(df.limit(0), spark.createDataFrame([], LABELS)).collect() == []
 
 
+def test_languages_are_those_of_the_corpus(spark):
+    french = [(2000 + i, "le pain est bon. la table est grande.", "fr") for i in range(6)]
+    rare = [(3000, "das Brot ist gut", "de"), (3001, "el pan es bueno", "und"), (3002, "le pain est bon", "")]
+    docs = [d[:3] for d in corpus(60)]
+    labels = [(d[0], "r", 5 if d[3] else 1, "t") for d in corpus(60)]
+    rows = {r.doc_id: r for r in reading_levels(spark.createDataFrame(docs + french + rare, DOCS), spark.createDataFrame(labels, LABELS)).collect()}
+    assert rows[2000].lang == "fr" and rows[2000].unfamiliar == 0 and rows[2000].demanding is False
+    assert rows[3000].lang is None and rows[3000].level is None
+    assert rows[3001].lang == "es" and rows[3002].lang == "fr"
+
+
 def test_reading():
     assert without_heading("Marca X 20 cm | azul: El pan es bueno") == "El pan es bueno"
     assert without_heading("El pan es bueno. Es azul") == "El pan es bueno. Es azul"
