@@ -8,7 +8,7 @@ one numpy array per type by row and column index, and leave as Arrow tables of t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,21 +22,6 @@ from rastro.functions.text import clean, fold, lookup_key
 
 MAX_COLUMNS = 2_000  # the column list is sent to every task
 
-# Labels of each column beside the one usual label that comes with the column list.
-LABELS = {
-    "peso_g": ["peso", "peso neto", "peso producto", "peso articulo", "peso del articulo", "peso del producto", "peso unitario", "item weight", "net weight", "product weight", "weight"],
-    "peso_paquete_g": ["peso del paquete", "peso paquete", "peso bruto", "peso con embalaje", "peso de envio", "peso del envio", "package weight", "shipping weight", "gross weight"],
-    "carga_max_g": ["peso maximo recomendado", "peso maximo soportado", "peso maximo", "carga maxima", "carga maxima recomendada", "capacidad de carga", "maximum weight recommendation", "maximum load", "weight capacity"],
-    "capacidad_ml": ["capacidad", "capacidad del producto", "capacidad del recipiente", "capacidad total", "volumen", "volumen del articulo", "volumen del producto", "item volume", "capacity", "volume"],
-    "diametro_mm": ["diametro", "diametro del producto", "diametro del articulo", "item diameter", "diameter"],
-    "potencia_w": ["potencia", "potencia electrica", "potencia nominal", "wattage", "power"],
-    "numero_piezas": ["numero de piezas", "n o de piezas", "no de piezas", "cantidad de piezas", "piezas", "number of pieces", "piece count"],
-    "numero_pieza": ["numero de pieza", "n o de pieza", "no de pieza", "referencia del fabricante", "part number", "manufacturer part number"],
-    "apto_lavavajillas": ["apto para lavavajillas", "apto lavavajillas", "lavable en lavavajillas", "dishwasher safe", "is dishwasher safe"],
-    "fecha_disponible": ["disponible desde", "fecha de disponibilidad", "producto disponible desde", "date first available"],
-    "color": ["color", "color del producto", "colour"],
-    "material": ["material", "material principal", "tipo de material"],
-}
 # Texts that state nothing, as lookup keys.
 UNREADABLE = ["", "n d", "n a", "na", "nd", "no aplicable", "no disponible", "desconocido", "consultar", "ver descripcion", "unknown", "null", "none", "sin datos", "sin especificar"]
 YES = ["si", "yes", "true", "verdadero", "apto", "apta", "1", "y", "s"]
@@ -57,16 +42,20 @@ class WideColumn:
     unit: str | None
 
 
-def wide_columns(columns: DataFrame) -> tuple[list[WideColumn], dict[str, str]]:
-    """The columns of the wide table and the column of each label key."""
+Labels = Mapping[str, Sequence[str]]
+
+
+def wide_columns(columns: DataFrame, labels: Labels | None = None) -> tuple[list[WideColumn], dict[str, str]]:
+    """The columns of the wide table and the column of each label key: its one label in ``columns``, and those in ``labels``."""
     rows = columns.select("column_name", "data_type", "unit", "label_es").distinct().orderBy("column_name").limit(MAX_COLUMNS + 1).collect()
     if len(rows) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} columns")
     own = {r.label_es: r.column_name for r in rows if r.label_es}
-    keys = {label: name for name, labels in LABELS.items() for label in labels}
-    if own:
+    given = [(label, name) for name, more in (labels or {}).items() for label in more] + list(own.items())
+    keys: dict[str, str] = {}
+    if given:
         spark = columns.sparkSession
-        keyed = spark.createDataFrame(list(own.items()), "label string, name string").select(lookup_key(F.col("label")).alias("key"), "name").collect()
+        keyed = spark.createDataFrame(given, "label string, name string").select(lookup_key(F.col("label")).alias("key"), "name").collect()
         keys |= {r.key: r.name for r in keyed}
     wide = [WideColumn(r.column_name, (r.data_type or "string").lower(), r.unit or ("n" if (r.data_type or "").lower() == "bigint" else None)) for r in rows]
     return wide, {k: v for k, v in keys.items() if v in {w.name for w in wide}}
@@ -113,13 +102,13 @@ def _reading(rows: DataFrame, wide: list[WideColumn]) -> DataFrame:
     return parts.withColumns({"number": F.when(stated, found), "text": F.when(stated & texts, F.lower("_shown"))})
 
 
-def statements(rows: DataFrame, columns: DataFrame, *, entity: str = "asin", label: str = "label_raw", value: str = "value_raw") -> DataFrame:
+def statements(rows: DataFrame, columns: DataFrame, *, entity: str = "asin", label: str = "label_raw", value: str = "value_raw", labels: Labels | None = None) -> DataFrame:
     """Statements: ``entity, column_name, number, text``, both null if unreadable. Rows without entity, or of labels no column asks for, are left out.
 
     Unreadable ones are not filtered here: the filter would be pushed below the readings and evaluate them twice.
     """
-    wide, keys = wide_columns(columns)
-    if not wide:
+    wide, keys = wide_columns(columns, labels)
+    if not wide or not keys:
         return rows.sparkSession.createDataFrame([], "entity string, column_name string, number double, text string")
     visible = fold(clean(F.col(label)))
     label_unit = F.nullif(F.regexp_extract("_visible", r"\(([^()]*)\)[ :?]*$", 1), F.lit(""))
@@ -182,8 +171,8 @@ def _wide_batches(batches: Iterator[pa.RecordBatch], wide: list[WideColumn]) ->
         yield _scatter(held, wide)
 
 
-def wide_table(rows: DataFrame, columns: DataFrame, *, entity: str = "asin", label: str = "label_raw", value: str = "value_raw") -> DataFrame:
-    """One row per entity with the typed columns that ``columns`` lists.
+def wide_table(rows: DataFrame, columns: DataFrame, *, entity: str = "asin", label: str = "label_raw", value: str = "value_raw", labels: Labels | None = None) -> DataFrame:
+    """One row per entity with the typed columns that ``columns`` lists; ``labels`` names more labels of a column beside its usual one.
 
     A cell is filled if at least one of its statements is readable and all readable ones agree after conversion to whole
     numbers of the column's unit (texts: ignoring case and blanks); contradicted and unread cells are null, and an entity none of whose statements is readable has no
@@ -198,7 +187,7 @@ def wide_table(rows: DataFrame, columns: DataFrame, *, entity: str = "asin", lab
     if not wide:
         return rows.select(F.upper(clean(F.col(entity))).alias(entity)).filter(F.col(entity) != "").limit(0)
     cells = (
-        statements(rows, columns, entity=entity, label=label, value=value)
+        statements(rows, columns, entity=entity, label=label, value=value, labels=labels)
         .groupBy("entity", "column_name")
         .agg(F.min("number").alias("lo"), F.max("number").alias("hi"), F.min("text").alias("t_lo"), F.max("text").alias("t_hi"))
     )

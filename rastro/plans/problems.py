@@ -11,10 +11,26 @@ from rastro.operators.snapshot_diff import snapshot_changes
 from rastro.operators.wide_table import wide_table
 from rastro.session import cut, read
 
+# Labels of each column of this catalogue beside the one usual label that comes with the column list.
+LABELS = {
+    "peso_g": ["peso", "peso neto", "peso producto", "peso articulo", "peso del articulo", "peso del producto", "peso unitario", "item weight", "net weight", "product weight", "weight"],
+    "peso_paquete_g": ["peso del paquete", "peso paquete", "peso bruto", "peso con embalaje", "peso de envio", "peso del envio", "package weight", "shipping weight", "gross weight"],
+    "carga_max_g": ["peso maximo recomendado", "peso maximo soportado", "peso maximo", "carga maxima", "carga maxima recomendada", "capacidad de carga", "maximum weight recommendation", "maximum load", "weight capacity"],
+    "capacidad_ml": ["capacidad", "capacidad del producto", "capacidad del recipiente", "capacidad total", "volumen", "volumen del articulo", "volumen del producto", "item volume", "capacity", "volume"],
+    "diametro_mm": ["diametro", "diametro del producto", "diametro del articulo", "item diameter", "diameter"],
+    "potencia_w": ["potencia", "potencia electrica", "potencia nominal", "wattage", "power"],
+    "numero_piezas": ["numero de piezas", "n o de piezas", "no de piezas", "cantidad de piezas", "piezas", "number of pieces", "piece count"],
+    "numero_pieza": ["numero de pieza", "n o de pieza", "no de pieza", "referencia del fabricante", "part number", "manufacturer part number"],
+    "apto_lavavajillas": ["apto para lavavajillas", "apto lavavajillas", "lavable en lavavajillas", "dishwasher safe", "is dishwasher safe"],
+    "fecha_disponible": ["disponible desde", "fecha de disponibilidad", "producto disponible desde", "date first available"],
+    "color": ["color", "color del producto", "colour"],
+    "material": ["material", "material principal", "tipo de material"],
+}
+
 
 def p1_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per asin with the typed columns of attribute_columns."""
-    return wide_table(read(spark, sf_dir, "product_attributes"), read(spark, sf_dir, "attribute_columns"))
+    return wide_table(read(spark, sf_dir, "product_attributes"), read(spark, sf_dir, "attribute_columns"), labels=LABELS)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from datetime import date
 
 from rastro.operators.wide_table import statements, wide_table
+from rastro.plans.problems import LABELS
 
 ROWS = "asin string, label_raw string, value_raw string"
 COLS = "column_name string, data_type string, unit string, label_es string"
@@ -8,7 +9,7 @@ COLUMNS = [("peso_g", "bigint", "g", "Peso del producto"), ("capacidad_ml", "big
 
 
 def wide(spark, rows):
-    out = wide_table(spark.createDataFrame(rows, ROWS), spark.createDataFrame(COLUMNS, COLS)).collect()
+    out = wide_table(spark.createDataFrame(rows, ROWS), spark.createDataFrame(COLUMNS, COLS), labels=LABELS).collect()
     assert len({r.asin for r in out}) == len(out)
     return {r.asin: r.asDict() for r in out}
 
@@ -38,7 +39,7 @@ def test_empty_tables(spark):
 
 def test_long_values_and_clashing_columns(spark):
     rows = spark.createDataFrame([("A", "Peso", "1 kg" + " " * 100_000, 1, "x"), ("A", "Peso" * 30_000, "1 kg", 1, "x"), ("B", "Peso", "9" * 5000 + " kg", 2, "y")], ROWS + ", number int, entity string")
-    out = wide_table(rows, spark.createDataFrame(COLUMNS, COLS)).collect()
+    out = wide_table(rows, spark.createDataFrame(COLUMNS, COLS), labels=LABELS).collect()
     assert [(r.asin, r.peso_g) for r in out if r.asin == "A"] == [("A", 1000)]
 
 
@@ -52,5 +53,13 @@ def test_many_entities_over_batches(spark):
 
 
 def test_unreadable_statements_are_null(spark):
-    rows = statements(spark.createDataFrame([("A", "Peso", "pesado")], ROWS), spark.createDataFrame(COLUMNS, COLS)).collect()
+    rows = statements(spark.createDataFrame([("A", "Peso", "pesado")], ROWS), spark.createDataFrame(COLUMNS, COLS), labels=LABELS).collect()
     assert [(r.number, r.text) for r in rows] == [(None, None)]
+
+
+def test_labels_are_given(spark):
+    """Without more labels only the one usual label of each column is known."""
+    rows = spark.createDataFrame([("A", COLUMNS[0][3], "1 kg"), ("B", "Greek weight", "2 kg")], ROWS)
+    columns = spark.createDataFrame(COLUMNS, COLS)
+    assert {r.entity for r in statements(rows, columns).collect()} == {"A"}
+    assert {r.entity for r in statements(rows, columns, labels={COLUMNS[0][0]: ["Greek weight"]}).collect()} == {"A", "B"}
