@@ -40,10 +40,31 @@ def accounting(rows: DataFrame, source: str, item: str, group: str) -> DataFrame
     return rows.groupingSets([[F.col(source)], []], F.col(source)).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(item).alias("items"), F.countDistinct(group).alias("groups"))
 
 
-def nearest_rank(c: Column, p: float) -> Column:
-    """Lower nearest-rank percentile: the value at ``floor((n - 1) * p)`` of the sorted non-null values."""
-    values = F.array_sort(F.collect_list(c))
-    return F.get(values, F.floor((F.size(values) - 1) * p).cast("int"))
+def percentiles(rows: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """``key`` and one interpolated percentile of ``value`` per name in ``shares``; nulls count for nothing.
+
+    Exact, and no key's values meet in one task: values are counted, range-partitioned in their order, and the counts of the
+    partitions are added up, so that each value knows which places it takes. A null key is a key; a key without values
+    has no row.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_k"))
+    spread = cut(counts.repartitionByRange(key, value).withColumn("_p", F.spark_partition_id()))
+    parts = spread.groupBy(F.col(key).alias("_key"), F.col("_p").alias("_q")).agg(F.sum("_k").alias("_s"))
+    w = Window.partitionBy("_key")
+    parts = parts.withColumns({"_before": F.coalesce(F.sum("_s").over(w.orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_n": F.sum("_s").over(w)})
+    own = F.sum("_k").over(Window.partitionBy("_p", key).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = spread.withColumn("_own", own).join(parts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_p") == F.col("_q")))
+    upto = F.col("_own") + F.col("_before")
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((place < upto) & (place >= upto - F.col("_k")), F.col(value)))
+
+    picked = {}
+    for name, share in shares.items():
+        place = (F.col("_n") - 1) * share
+        picked |= {f"_lo_{name}": at(F.floor(place)), f"_hi_{name}": at(F.ceil(place)), f"_f_{name}": F.max(place - F.floor(place))}
+    found = placed.groupBy(key).agg(*[c.alias(n) for n, c in picked.items()])
+    return found.select(key, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in shares])
 
 
 def fill_rates(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -64,11 +85,11 @@ def frequencies(rows: DataFrame, fields: list[str], key: str, top: int, samples:
 
 def page_gate(rows: DataFrame, page: str, rank: str, item: str, expected: int) -> DataFrame:
     """Per page: rows, distinct items, missing ranks, duplicates, and reasons why it is incomplete (empty if it isn't)."""
-    agg = rows.groupBy(page).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(item).alias("items"), F.array_sort(F.collect_set(rank)).alias("_ranks"))
-    gaps = F.size(F.array_except(F.sequence(F.array_min("_ranks"), F.array_max("_ranks")), F.col("_ranks")))
-    out = agg.withColumns({"gaps": F.when(F.size("_ranks") > 0, gaps).otherwise(0), "duplicates": F.col("n") - F.col("items")})
+    span = F.max(rank).cast("bigint") - F.min(rank) + 1 - F.countDistinct(rank)
+    agg = rows.groupBy(page).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(item).alias("items"), F.coalesce(span, F.lit(0)).alias("gaps"))
+    out = agg.withColumn("duplicates", F.col("n") - F.col("items"))
     reasons = F.array_join(F.array_compact(F.array(F.when(F.col("items") < expected, "TOO_FEW"), F.when(F.col("gaps") > 0, "RANK_GAP"), F.when(F.col("duplicates") > 0, "DUPLICATE"))), ";")
-    return out.withColumn("reasons", reasons).drop("_ranks")
+    return out.withColumn("reasons", reasons)
 
 
 def latest_valid(rows: DataFrame, key: str, at: str, value: str, tie: str, valid: Column) -> DataFrame:
@@ -83,14 +104,15 @@ def worst(rows: DataFrame, key: str, status: str, order: list[str]) -> DataFrame
     return rows.groupBy(key).agg(F.min_by(status, rank).alias("worst"), *[F.count_if(F.col(status) == s).alias(f"n_{s.lower()}") for s in order])
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node, component``: the least node of each connected component, by alternating hooking and shortcutting of labels.
 
-    Every round joins each node's label to its neighbours' and to its label's label, so that chains shorten by half.
+    Every round joins each node's label to its neighbours' and to its label's label, so that chains shorten by half; rounds
+    go on until no label changes. Labels only fall, so they end.
     """
     both = cut(edges.toDF("a", "b").unionAll(edges.toDF("b", "a").select("a", "b")).distinct())
     labels = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")))
-    for _ in range(max_rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         hooked = labels.join(near, "a", "left").select("a", F.least("label", F.coalesce("near", "label")).alias("label"))
         above = hooked.select(F.col("a").alias("label"), F.col("label").alias("above"))
@@ -98,7 +120,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not following.join(labels.withColumnRenamed("label", "old"), "a").filter("label <> old").take(1):
             return following.toDF("node", "component")
         labels = following
-    raise RuntimeError("labels still change: raise max_rounds")
 
 
 def coverage(grid: DataFrame, evidence: DataFrame, keys: list[str], state: str) -> DataFrame:

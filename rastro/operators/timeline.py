@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rastro.session import cut
+
 
 def streaks(days: DataFrame, keys: list[str], day: str) -> DataFrame:
     """Runs of consecutive days: ``start, days``, one row per run; a day given twice counts once."""
@@ -29,13 +31,28 @@ def reappearances(states: DataFrame, keys: list[str], day: str, state: str) -> D
 
 
 def gaps_between(rows: DataFrame, keys: list[str], at: str, tie: str) -> DataFrame:
-    """Seconds since the row before, per key; null for the first."""
-    before = F.lag(at).over(Window.partitionBy(*keys).orderBy(at, tie))
-    return rows.withColumn("gap_s", F.timestamp_diff("SECOND", before, F.col(at)))
-
-
-def trailing_rate(rows: DataFrame, keys: list[str], at: str, tie: str, seconds: int) -> DataFrame:
-    """Rows per hour since the last row at least ``seconds`` back, else since the first; null for the first row."""
+    """Whole seconds since the row before, per key, as ``gap_s``; null for the first. Rows without a time come first.
+
+    A key with a third of all rows is spread over many tasks: rows are range-partitioned in their order, and the first row
+    of a key in a partition takes the key's last time in the partitions before.
+    """
+    spread = cut(rows.repartitionByRange(*keys, at, tie).withColumn("_p", F.spark_partition_id()))
+    ends = spread.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_p").alias("_q")).agg(F.max(at).alias("_end"))
+    ends = ends.withColumn("_end", F.lag("_end").over(Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("_q")))
+    same = F.col("_p") == F.col("_q")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    inner = Window.partitionBy("_p", *keys).orderBy(at, tie)
+    marked = spread.withColumns({"_first": F.row_number().over(inner) == 1, "_before": F.lag(at).over(inner)}).join(ends, same)
+    before = F.when(F.col("_first"), F.col("_end")).otherwise(F.col("_before"))
+    return marked.withColumn("gap_s", F.timestamp_diff("SECOND", before, F.col(at))).select(*rows.columns, "gap_s")
+
+
+def trailing_rate(rows: DataFrame, keys: list[str], at: str, tie: str, seconds: int, target: int = 0) -> DataFrame:
+    """Rows per hour since the last row at least ``seconds`` back, else since the first, and the hours to ``target`` rows at that rate.
+
+    Both are null where there is one sample only.
+    """
     order = Window.partitionBy(*keys).orderBy(at, tie)
     numbered = rows.withColumns({"_n": F.row_number().over(order), "_s": F.unix_seconds(F.col(at).cast("timestamp"))})
     ranged = Window.partitionBy(*keys).orderBy("_s").rangeBetween(Window.unboundedPreceding, -seconds)
@@ -43,14 +60,21 @@ def trailing_rate(rows: DataFrame, keys: list[str], at: str, tie: str, seconds:
     base = F.coalesce(F.max(F.struct("_s", "_n")).over(ranged), first)
     out = numbered.withColumn("_base", base)
     rate = F.try_divide((F.col("_n") - F.col("_base._n")) * 3600, F.col("_s") - F.col("_base._s"))
-    return out.withColumn("per_hour", rate).drop("_n", "_s", "_base")
+    left = F.greatest(F.lit(target) - F.col("_n"), F.lit(0))
+    eta = F.when(F.col("_n") > F.col("_base._n"), F.try_divide(left * (F.col("_s") - F.col("_base._s")), (F.col("_n") - F.col("_base._n")) * 3600))
+    return out.withColumns({"per_hour": rate, "eta_hours": F.when(rate.isNotNull(), eta)}).drop("_n", "_s", "_base")
 
 
 def cumulative_distinct(rows: DataFrame, keys: list[str], at: str, item: str) -> DataFrame:
-    """Per time: how many items had been seen by then, and how many were new."""
+    """Per time: how many items had been seen by then, how many were new, and how many an hour since the time before.
+
+    The first time of a key has no rate: what it brought may have gathered for any while.
+    """
     first = rows.groupBy(*keys, item).agg(F.min(at).alias(at))
     times = rows.select(*keys, at).distinct().join(first.groupBy(*keys, at).agg(F.count(F.lit(1)).alias("new")), [*keys, at], "left").fillna(0, ["new"])
-    return times.withColumn("seen", F.sum("new").over(Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)))
+    order = Window.partitionBy(*keys).orderBy(at)
+    hours = (F.unix_seconds(F.col(at).cast("timestamp")) - F.lag(F.unix_seconds(F.col(at).cast("timestamp"))).over(order)) / 3600
+    return times.withColumns({"seen": F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)), "per_hour": F.try_divide(F.col("new").cast("double"), hours)})
 
 
 def duplicate_status(rows: DataFrame, run: str, item: str, raw: str, order: list[Column], eligible: Column, valid: Column) -> DataFrame:
@@ -76,7 +100,7 @@ def rank_changes(before: DataFrame, after: DataFrame, keys: list[str], rank: str
 
 
 def sightings(rows: DataFrame, keys: list[str], item: str, day: str, order: list[Column]) -> DataFrame:
-    """FIRST_SEEN, REUSED_OTHER_DAY or REUSED_SAME_DAY of each row within its origin."""
+    """FIRST_SEEN, REUSED_OTHER_DAY or REUSED_SAME_DAY of each row within its origin; over all days, whichever are shown then."""
     first = F.min(day).over(Window.partitionBy(*keys, item))
     at = F.row_number().over(Window.partitionBy(*keys, item, day).orderBy(*order))
     return rows.withColumn("sighting", F.when(at > 1, "REUSED_SAME_DAY").when(F.col(day) > first, "REUSED_OTHER_DAY").otherwise("FIRST_SEEN"))
@@ -89,3 +113,17 @@ def latest_widest_pages(captures: DataFrame, source: list[str], frame: list[str]
     newest = Window.partitionBy(*source).orderBy(F.desc(at), *frame)
     kept = best.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= latest)
     return kept.select(*source, *frame, at, F.col(f"_b.{page}").alias(page), F.col(f"_b.{size}").alias(size))
+
+
+def sighting_history(rows: DataFrame, keys: list[str], day: str, latest: int) -> DataFrame:
+    """Per key and day, for the ``latest`` days that have rows: rows of each kind of :func:`sightings`."""
+    days = rows.select(day).distinct().orderBy(F.desc(day)).limit(latest)
+    kinds = ("FIRST_SEEN", "REUSED_OTHER_DAY", "REUSED_SAME_DAY")
+    return rows.join(F.broadcast(days), day).groupBy(*keys, day).agg(*[F.count_if(F.col("sighting") == k).alias(k.lower()) for k in kinds])
+
+
+def full_windows(days: DataFrame, keys: list[str], day: str, length: int) -> DataFrame:
+    """``keys, start``: the days from which a key has rows on ``length`` days without a break; overlapping ones each."""
+    last = F.lead(day, length - 1).over(Window.partitionBy(*keys).orderBy(day))
+    found = days.select(*keys, day).distinct().withColumn("_last", last)
+    return found.filter(F.datediff("_last", day) == length - 1).select(*keys, F.col(day).alias("start"))

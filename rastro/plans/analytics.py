@@ -108,7 +108,7 @@ def ag12_field_status(t):
 
 @query("SELECT event_type, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95 FROM events GROUP BY 1")
 def ag13_percentiles(t):
-    return t("events").groupBy("event_type").agg(F.percentile("value", F.lit(0.5)).alias("p50"), F.percentile("value", F.lit(0.95)).alias("p95"))
+    return ms.percentiles(t("events"), "event_type", "value", {"p50": 0.5, "p95": 0.95})
 
 
 @query("SELECT l_returnflag, list_sort(list(l_quantity))[1 + CAST(floor((count(l_quantity) - 1) * 0.95) AS INT)] AS p95 FROM lineitem GROUP BY 1")
@@ -122,7 +122,9 @@ def ag14_nearest_rank(t):
 
 @query("SELECT event_type AS stage, count(*) AS n, sum(value) AS total, avg(value) AS mean, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95 FROM events GROUP BY 1")
 def ag15_stage_timing(t):
-    return t("events").groupBy(c("event_type").alias("stage")).agg(n_rows().alias("n"), F.sum("value").alias("total"), F.avg("value").alias("mean"), F.percentile("value", F.lit(0.5)).alias("p50"), F.percentile("value", F.lit(0.95)).alias("p95"))
+    sums = t("events").groupBy(c("event_type").alias("stage")).agg(n_rows().alias("n"), F.sum("value").alias("total"), F.avg("value").alias("mean"))
+    shares = ms.percentiles(t("events"), "event_type", "value", {"p50": 0.5, "p95": 0.95})
+    return sums.join(shares, c("stage").eqNullSafe(c("event_type")), "left").drop("event_type")
 
 
 @query("SELECT o_custkey, CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') > 0 THEN count(*) FILTER (WHERE o_orderstatus = 'O') / count(*) FILTER (WHERE o_orderstatus = 'F') END AS ratio FROM orders GROUP BY 1")
@@ -421,19 +423,20 @@ def wn10_days(t):
     return t("events").groupBy("user_id").agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.countDistinct(day).alias("days"), n_rows().alias("n"))
 
 
-@query("WITH f AS (SELECT event_type, user_id, min(CAST(ts AS DATE)) AS d FROM events GROUP BY 1, 2), g AS (SELECT k.event_type, k.d, coalesce(n, 0) AS new FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d FROM events) k LEFT JOIN (SELECT event_type, d, count(*) AS n FROM f GROUP BY 1, 2) x USING (event_type, d)) SELECT event_type, d, new, CAST(sum(new) OVER (PARTITION BY event_type ORDER BY d) AS BIGINT) AS seen FROM g")
+@query("WITH f AS (SELECT event_type, user_id, min(CAST(ts AS DATE)) AS d FROM events GROUP BY 1, 2), g AS (SELECT k.event_type, k.d, coalesce(n, 0) AS new FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d FROM events) k LEFT JOIN (SELECT event_type, d, count(*) AS n FROM f GROUP BY 1, 2) x USING (event_type, d)) SELECT event_type, d, new, CAST(sum(new) OVER (PARTITION BY event_type ORDER BY d) AS BIGINT) AS seen, new / (24.0 * (d - lag(d) OVER (PARTITION BY event_type ORDER BY d))) AS per_hour FROM g")
 def wn11_cumulative_distinct(t):
     return tl.cumulative_distinct(t("events").select("event_type", "user_id", F.to_date("ts").alias("d")), ["event_type"], "d", "user_id")
 
 
-@query("WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events), k AS (SELECT a.event_id, a.s, a.n, coalesce(max(x.s), f.s) AS base, coalesce(max(x.n), 1) AS bn FROM e a JOIN (SELECT user_id, s FROM e WHERE n = 1) f ON f.user_id = a.user_id LEFT JOIN e x ON x.user_id = a.user_id AND x.s <= a.s - 86400 GROUP BY a.event_id, a.s, a.n, f.s) SELECT event_id, CASE WHEN s > base THEN (n - bn) * 3600 / (s - base) END AS per_hour FROM k")
+@query("WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events), k AS (SELECT a.event_id, a.s, a.n, coalesce(max(x.s), f.s) AS base, coalesce(max(x.n), 1) AS bn FROM e a JOIN (SELECT user_id, s FROM e WHERE n = 1) f ON f.user_id = a.user_id LEFT JOIN e x ON x.user_id = a.user_id AND x.s <= a.s - 300 GROUP BY a.event_id, a.s, a.n, f.s) SELECT event_id, CASE WHEN s > base THEN (n - bn) * 3600 / (s - base) END AS per_hour, CASE WHEN s > base AND n > bn THEN greatest(50 - n, 0) * (s - base) / ((n - bn) * 3600) END AS eta_hours FROM k")
 def wn12_trailing_rate(t):
-    return tl.trailing_rate(t("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", "event_id", 86400).select("event_id", "per_hour")
+    rates = tl.trailing_rate(t("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", "event_id", 300, 50)
+    return rates.select("event_id", "per_hour", "eta_hours")
 
 
 @query("SELECT event_type, quantile_cont(g, 0.5) AS p50, quantile_cont(g, 0.95) AS p95 FROM (SELECT event_type, CAST(trunc(epoch(ts) - epoch(lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id))) AS BIGINT) AS g FROM events) GROUP BY 1")
 def wn13_gaps(t):
-    return tl.gaps_between(t("events"), ["event_type"], "ts", "event_id").groupBy("event_type").agg(F.percentile("gap_s", F.lit(0.5)).alias("p50"), F.percentile("gap_s", F.lit(0.95)).alias("p95"))
+    return ms.percentiles(tl.gaps_between(t("events").select("event_type", "ts", "event_id"), ["event_type"], "ts", "event_id"), "event_type", "gap_s", {"p50": 0.5, "p95": 0.95})
 
 
 @query("SELECT user_id, min(g) < 60 AS too_fast FROM (SELECT user_id, CAST(trunc(epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) AS BIGINT) AS g FROM events) GROUP BY 1")
@@ -441,9 +444,10 @@ def wn14_pacing(t):
     return tl.gaps_between(t("events"), ["user_id"], "ts", "event_id").groupBy("user_id").agg((F.min("gap_s") < 60).alias("too_fast"))
 
 
-@query("SELECT event_id, CASE WHEN row_number() OVER (PARTITION BY event_type, user_id, CAST(ts AS DATE) ORDER BY ts, event_id) > 1 THEN 'REUSED_SAME_DAY' WHEN CAST(ts AS DATE) > min(CAST(ts AS DATE)) OVER (PARTITION BY event_type, user_id) THEN 'REUSED_OTHER_DAY' ELSE 'FIRST_SEEN' END AS sighting FROM events")
+@query("SELECT event_type, day, count(*) FILTER (WHERE sighting = 'FIRST_SEEN') AS first_seen, count(*) FILTER (WHERE sighting = 'REUSED_OTHER_DAY') AS reused_other_day, count(*) FILTER (WHERE sighting = 'REUSED_SAME_DAY') AS reused_same_day FROM (SELECT event_type, CAST(ts AS DATE) AS day, CASE WHEN row_number() OVER (PARTITION BY event_type, user_id, CAST(ts AS DATE) ORDER BY ts, event_id) > 1 THEN 'REUSED_SAME_DAY' WHEN CAST(ts AS DATE) > min(CAST(ts AS DATE)) OVER (PARTITION BY event_type, user_id) THEN 'REUSED_OTHER_DAY' ELSE 'FIRST_SEEN' END AS sighting FROM events) WHERE day IN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events ORDER BY d DESC LIMIT 7) GROUP BY 1, 2")
 def wn15_sightings(t):
-    return tl.sightings(t("events").withColumn("day", F.to_date("ts")), ["event_type"], "user_id", "day", [c("ts"), c("event_id")]).select("event_id", "sighting")
+    seen = tl.sightings(t("events").withColumn("day", F.to_date("ts")), ["event_type"], "user_id", "day", [c("ts"), c("event_id")])
+    return tl.sighting_history(seen, ["event_type"], "day", 7)
 
 
 @query("SELECT event_id, CASE WHEN value IS NULL THEN 'INVALID' WHEN event_type = 'error' THEN 'IDENTITY_UNCONFIRMED' WHEN coalesce(sum((event_type <> 'error' AND value IS NOT NULL)::INT) OVER (PARTITION BY CAST(ts AS DATE), user_id % 100 ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 THEN 'UNIQUE' WHEN count(*) OVER (PARTITION BY CAST(ts AS DATE), user_id % 100, user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0 THEN 'EXACT_DUPLICATE' ELSE 'NORMALIZED_DUPLICATE' END AS status FROM events")
@@ -476,16 +480,16 @@ def wn20_contexts(t):
     return cards(t).select("snapshot_id", "asin", "page", F.count(F.lit(1)).over(Window.partitionBy("snapshot_id", "asin")).alias("contexts"))
 
 
-@query("SELECT DISTINCT user_id FROM (SELECT user_id, d, lag(d, 2) OVER (PARTITION BY user_id ORDER BY d) AS b FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events)) WHERE d - b = 2")
+@query("WITH d AS (SELECT DISTINCT event_type, user_id % 50 AS shop, CAST(ts AS DATE) AS d FROM events) SELECT event_type, shop, d AS start FROM d WHERE (SELECT count(*) FROM d x WHERE x.event_type = d.event_type AND x.shop = d.shop AND x.d BETWEEN d.d AND d.d + 13) = 14")
 def wn21_day_window(t):
-    days = t("events").select("user_id", F.to_date("ts").alias("d")).distinct()
-    back = F.lag("d", 2).over(Window.partitionBy("user_id").orderBy("d"))
-    return days.withColumn("b", back).filter(F.datediff("d", "b") == 2).select("user_id").distinct()
+    return tl.full_windows(t("events").select("event_type", (c("user_id") % 50).alias("shop"), F.to_date("ts").alias("d")), ["event_type", "shop"], "d", 14)
 
 
-@query("SELECT snapshot_id, asin, n AS widest FROM (SELECT snapshot_id, asin, length(max(coalesce(raw_href, ''))) AS n FROM identity_candidates GROUP BY 1, 2)")
+@query("SELECT snapshot_id, asin, raw_href, CAST(length(raw_href) AS BIGINT) AS widest FROM (SELECT DISTINCT snapshot_id, asin, raw_href FROM identity_candidates WHERE raw_href IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY snapshot_id, asin ORDER BY length(raw_href) DESC, raw_href DESC) = 1")
 def wn22_widest_capture(t):
-    return t("identity_candidates").groupBy("snapshot_id", "asin").agg(F.length(F.max(F.coalesce("raw_href", F.lit("")))).cast("bigint").alias("widest"))
+    cards_ = t("identity_candidates").filter("raw_href is not null")
+    best = cards_.groupBy("snapshot_id", "asin").agg(F.max(F.struct(F.length("raw_href").cast("bigint").alias("widest"), "raw_href")).alias("b"))
+    return best.select("snapshot_id", "asin", "b.raw_href", "b.widest")
 
 
 @query("SELECT source_url, observed_at, arg_max(snapshot_id, (n, snapshot_id)) AS snapshot_id, max(n) AS n FROM (SELECT source_url, observed_at, snapshot_id, count(*) AS n FROM identity_candidates WHERE source_url IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY observed_at DESC NULLS LAST) <= 3")

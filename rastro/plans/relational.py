@@ -194,9 +194,9 @@ _FIRST_DETAIL = "(SELECT asin, title, CAST(rank AS VARCHAR) AS drank FROM produc
 @query(f"SELECT coalesce(r.asin, d.asin) AS asin, coalesce(CAST(r.rank AS VARCHAR), d.drank) AS rank, r.snapshot_id, d.title FROM {_FIRST_CARD} r FULL JOIN {_FIRST_DETAIL} d ON r.asin = d.asin")
 def jn1_merge_rankings_details(t):
     cards = t("identity_candidates").withColumn("asin", F.upper(F.trim("asin")))
-    first = rows.first_by(cards, ["asin"], _card_order()).select("asin", c("rank").cast("string").alias("rank"), "snapshot_id")
-    details = t("product_details").select("asin", "title", "rank", "ingested_at", "listing_id")
-    return joins.merge_first(first, rows.first_by(details, ["asin"], [c("ingested_at"), c("listing_id"), c("title")]).select("asin", "title", "rank"), "asin", [c("snapshot_id")], [c("title")])
+    first = cards.withColumn("rank", c("rank").cast("string"))
+    merged = joins.merge_first(first, t("product_details").select("asin", "title", "rank", "ingested_at", "listing_id"), "asin", _card_order(), [c("ingested_at"), c("listing_id"), c("title")])
+    return merged.select("asin", "rank", "snapshot_id", "title")
 
 
 @query("SELECT p.listing_id, CASE WHEN s.title IS NOT NULL AND s.title = p.title THEN s.title END AS translated FROM product_details p LEFT JOIN (SELECT asin, min(title) AS title FROM product_details GROUP BY asin) s ON p.asin = s.asin")

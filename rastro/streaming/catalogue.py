@@ -16,8 +16,11 @@ from rastro.session import shared_folder
 def run_to_end(stream: DataFrame, mode: str, each: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
     """Run a stream over all that is there and read the result as a table in the shared folder.
 
-    ``append`` writes every batch, ``complete`` and ``update`` replace the table by the last batch unless ``each`` merges it.
+    ``append`` writes every batch, ``complete`` replaces the table by the last batch. In ``update`` mode a batch holds only
+    the keys it changed, so ``each`` must merge it into the table.
     """
+    if mode == "update" and each is None:
+        raise ValueError("update mode needs a function that merges each batch")
     spark = stream.sparkSession
     place = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     out = f"{place}/out"
@@ -88,13 +91,6 @@ def slot_versions(stream: DataFrame, slot: str, digest: str, order: str) -> Data
 # ---- folds over ordered events, in batch ------------------------------------------------------------------------
 
 
-def slot_versions_batch(rows: DataFrame, slot: str, digest: str, order: list[Column]) -> DataFrame:
-    """What :func:`slot_versions` gives for all rows at once."""
-    w = Window.partitionBy(slot).orderBy(*order)
-    changed = rows.withColumn("_b", F.lag(digest).over(w)).filter(~F.col(digest).eqNullSafe(F.col("_b")))
-    return changed.withColumn("version", F.row_number().over(w)).select(slot, "version", digest)
-
-
 def claim_states(events: DataFrame, task: str, kind: str, order: list[Column]) -> DataFrame:
     """State of each task after its events: SAVED and COMMITTED need the state before, HELD and SKIPPED are final.
 
@@ -119,7 +115,8 @@ def standing_decisions(events: DataFrame, key: str, kind: str, undo: str, order:
     Decisions and undos are matched like brackets: a decision stands if the number of standing ones never falls below its own.
     """
     w = Window.partitionBy(key).orderBy(*order)
-    up, down = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(1, Window.unboundedFollowing)
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(key).orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)  # what follows, read from the end
     walk = events.withColumn("_s", F.sum(F.when(F.col(kind) == undo, -1).otherwise(1)).over(up))
     depth = walk.withColumn("_d", F.col("_s") - F.least(F.lit(0), F.min("_s").over(up)))
     stands = (F.col(kind) != undo) & (F.coalesce(F.min("_d").over(down), F.col("_d")) >= F.col("_d"))
