@@ -269,7 +269,10 @@ def ag40_category_summary(t):
     return t("category_placements").groupBy("category_name").agg(n_rows().alias("n"), F.when(done == n_rows(), "COMPLETE").when(done > 0, "PARTIAL").otherwise("OPEN").alias("state"))
 
 
-@query(None)
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, -(o_orderkey % 997) - 1 AS b FROM orders), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+cc(node, component) USING KEY (node) AS (SELECT a, min(least(a, b)) FROM u GROUP BY a
+UNION SELECT u.a, min(n.component) FROM u JOIN cc AS n ON n.node = u.b JOIN recurring.cc AS o ON o.node = u.a WHERE n.component < o.component GROUP BY u.a)
+SELECT node, component FROM cc""")
 def ag41_components(t):
     return ms.components(t("orders").select(c("o_custkey").alias("a"), (-(c("o_orderkey") % 997) - 1).alias("b")).distinct())
 

@@ -12,7 +12,9 @@ from rastro.functions import numbers as nu
 from rastro.functions import specs as sp
 from rastro.functions import text as tx
 from rastro.functions import urls as ur
+from rastro.operators import gates
 from rastro.operators import quality as ql
+from rastro.operators.snapshot_diff import clean_page_url
 from rastro.plans.analytics import CARD, cards
 from rastro.plans.scalars import _price_sql
 from rastro.session import read
@@ -40,9 +42,14 @@ def union(table: str, key: str, rules: list[tuple[str, str, str, str]]) -> str:
 _RATING = r"TRY_CAST(nullif(replace(regexp_extract(rating, '^\s*([0-9]+(?:[.,][0-9]+)?)', 1), ',', '.'), '') AS DOUBLE)"
 
 
-@query(union("product_details", "listing_id", [("ASIN_INVALID", "P0", "asin", "NOT regexp_matches(asin, '^[A-Z0-9]{10}$')"), ("URL_ASIN_MISMATCH", "P0", "url", "nullif(upper(regexp_extract(url, '/(?:dp|gp/product|gp/aw/d)/([A-Za-z0-9]{10})(?:[/?#]|$)', 1)), '') <> asin")]))
+_CARD_URL = "nullif(upper(coalesce(nullif(regexp_extract(raw_href, '(?i)/(?:dp|gp/product|product)/([A-Z0-9]{10})', 1), ''), regexp_extract(raw_href, '/([A-Z0-9]{10})(?:[/?#]|$)', 1))), '')"
+_ASIN = "upper(trim(coalesce(asin, '')))"
+
+
+@query(union("identity_candidates", "snapshot_id, card_index, asin", [("ASIN_INVALID", "P0", "asin", f"NOT regexp_matches({_ASIN}, '^[A-Z0-9]{{10}}$')"), ("URL_ASIN_MISMATCH", "P0", "product_url", f"{_ASIN} <> '' AND {_CARD_URL} <> {_ASIN}"), ("IMAGE_ASIN_MISMATCH", "P0", "image_url", f"{_ASIN} <> '' AND nullif(upper(trim(card_asin)), '') <> {_ASIN}"), ("LIMITED_IDENTITY_EVIDENCE", "P2", "raw_href", f"{_CARD_URL} IS NULL")]))
 def dq1_identity(t):
-    return ql.issues(t("product_details"), ["listing_id"], [("ASIN_INVALID", "P0", "asin", ~c("asin").rlike("^[A-Z0-9]{10}$")), ("URL_ASIN_MISMATCH", "P0", "url", ur.item_id(c("url")) != c("asin"))])
+    """Cards as records: the card's own id stands for that of the picture beside it."""
+    return ql.issues(t("identity_candidates"), ["snapshot_id", "card_index", "asin"], ql.identity_rules(c("asin"), c("raw_href"), c("card_asin")))
 
 
 @query(union("product_details", "listing_id", [("PRICE_INVALID", "P1", "price_eur", f"nullif(trim(price_eur), '') IS NOT NULL AND ({_price_sql('price_eur')}) IS NULL"), ("ORIGINAL_PRICE_INVALID", "P1", "listprice_eur", f"({_price_sql('listprice_eur')}) <= ({_price_sql('price_eur')})")]))
@@ -119,11 +126,15 @@ def dq13_export_cells(t):
     return a.join(b, "asin", "left").filter(~c("title").eqNullSafe(c("shown"))).select("asin", F.when(c("shown").isNull(), "EXPORT_MISSING").otherwise("EXPORT_VALUE_MISMATCH").alias("code"))
 
 
-@query(f"SELECT snapshot_id, page, 'DUPLICATE_RANK_SLOT' AS code, count(*) AS n FROM (SELECT snapshot_id, page, rank FROM {CARD} WHERE rank IS NOT NULL GROUP BY 1, 2, 3 HAVING count(DISTINCT asin) > 1) GROUP BY 1, 2 UNION ALL SELECT snapshot_id, page, 'RANK_MISSING', count(*) FROM {CARD} WHERE rank IS NULL GROUP BY 1, 2")
+@query(f"""WITH k AS (SELECT snapshot_id, page, asin, rank, card_asin, {_CARD_URL} AS url_asin FROM {CARD}), g AS (SELECT snapshot_id, page, count(*) FILTER (WHERE rank > 0) AS n, max(rank) FILTER (WHERE rank > 0) - min(rank) FILTER (WHERE rank > 0) + 1 - count(DISTINCT rank) FILTER (WHERE rank > 0) AS gaps FROM k GROUP BY 1, 2)
+SELECT snapshot_id, page, 'DUPLICATE_RANK_SLOT' AS code, count(*) AS n FROM (SELECT snapshot_id, page, rank FROM k WHERE rank > 0 GROUP BY 1, 2, 3 HAVING count(DISTINCT asin) > 1) GROUP BY 1, 2
+UNION ALL SELECT snapshot_id, page, 'RANK_GAP', CAST(gaps AS BIGINT) FROM g WHERE n >= 3 AND gaps > 0
+UNION ALL SELECT snapshot_id, page, 'RANK_MISSING', count(*) FROM k WHERE coalesce(rank, 0) <= 0 GROUP BY 1, 2
+UNION ALL SELECT snapshot_id, page, 'INVALID_ASIN', count(*) FROM k WHERE NOT regexp_matches(coalesce(asin, ''), '^[A-Z0-9]{{10}}$') GROUP BY 1, 2
+UNION ALL SELECT snapshot_id, page, 'LINK_ASIN_MISMATCH', count(*) FROM k WHERE regexp_matches(coalesce(asin, ''), '^[A-Z0-9]{{10}}$') AND ((nullif(upper(trim(card_asin)), '') <> url_asin) OR url_asin <> asin) GROUP BY 1, 2
+UNION ALL SELECT snapshot_id, page, 'LIMITED_IDENTITY_EVIDENCE', count(*) FROM k WHERE regexp_matches(coalesce(asin, ''), '^[A-Z0-9]{{10}}$') AND url_asin IS NULL GROUP BY 1, 2""")
 def dq14_rank_integrity(t):
-    k = cards(t)
-    slots = k.filter("rank is not null").groupBy("snapshot_id", "page", "rank").agg(F.countDistinct("asin").alias("d")).filter("d > 1").groupBy("snapshot_id", "page").agg(F.lit("DUPLICATE_RANK_SLOT").alias("code"), F.count(F.lit(1)).alias("n"))
-    return slots.unionAll(k.filter("rank is null").groupBy("snapshot_id", "page").agg(F.lit("RANK_MISSING").alias("code"), F.count(F.lit(1)).alias("n")))
+    return ql.rank_integrity(cards(t), ["snapshot_id", "page"], "rank", "asin", c("card_asin"), c("raw_href"))
 
 
 @query("SELECT placement_id, last_seen_at, CASE WHEN status = 'FAILED_FINAL' THEN 'ACCESS_BLOCKED' WHEN attempt_count > 0 AND status = 'DONE' THEN 'CHALLENGE_RECOVERED' WHEN status IS NULL THEN 'ACCESS_STATE_UNKNOWN' END AS code FROM category_placements WHERE status = 'FAILED_FINAL' OR (attempt_count > 0 AND status = 'DONE') OR status IS NULL")
@@ -138,10 +149,16 @@ def dq16_detail_identity(t):
     return t("identity_candidates").select("snapshot_id", "asin", "card_index", F.when(k == 0, "UNCONFIRMED").when(k == 1, "MATCH").otherwise("MISMATCH").alias("state"))
 
 
-@query(union("product_attributes", "attr_id", [("LABEL_MISSING", "P2", "label_raw", "nullif(trim(label_raw), '') IS NULL"), ("VALUE_MISSING", "P2", "value_raw", "nullif(trim(value_raw), '') IS NULL"), ("INVISIBLE_CHARACTERS", "P3", "label_raw", f"regexp_matches(label_raw, '{tx.NOISE}')"), ("TRUNCATED_VALUE", "P2", "value_raw", "contains(value_raw, 'Ver más')"), ("POSITION_MISSING", "P3", "position", "position IS NULL")]))
+@query("""WITH a AS (SELECT *, lower(trim(coalesce(section, ''))) AS s, trim(coalesce(label_raw, '')) AS l, trim(coalesce(value_raw, '')) AS v FROM product_attributes WHERE asin IS NOT NULL),
+o AS (SELECT asin, s, position, lag(position) OVER (PARTITION BY asin, s ORDER BY attr_id, position, captured_at) AS before FROM a WHERE position IS NOT NULL)
+SELECT asin, 'DETAIL_LABEL_VALUE_MISSING' AS code, count(*) AS n FROM a WHERE l = '' OR v = '' GROUP BY 1
+UNION ALL SELECT asin, 'DETAIL_PROVENANCE_INCOMPLETE', count(*) FROM a WHERE s = '' OR trim(coalesce(source, '')) = '' GROUP BY 1
+UNION ALL SELECT asin, 'DETAIL_POSITION_MISSING', count(*) FROM a WHERE position IS NULL GROUP BY 1
+UNION ALL SELECT asin, 'DETAIL_POSITION_DUPLICATE', count(*) FROM (SELECT asin, s FROM o GROUP BY 1, 2 HAVING count(*) > count(DISTINCT position)) GROUP BY 1
+UNION ALL SELECT asin, 'DETAIL_POSITION_ORDER', count(*) FROM (SELECT DISTINCT asin, s FROM o WHERE before > position) GROUP BY 1
+UNION ALL SELECT asin, 'DETAIL_ITEM_DUPLICATED', count(*) FROM (SELECT asin, s, lower(l), v FROM a GROUP BY ALL HAVING count(*) > 1) GROUP BY 1""")
 def dq17_detail_structure(t):
-    rules = [("LABEL_MISSING", "P2", "label_raw", tx.present(c("label_raw")).isNull()), ("VALUE_MISSING", "P2", "value_raw", tx.present(c("value_raw")).isNull()), ("INVISIBLE_CHARACTERS", "P3", "label_raw", c("label_raw").rlike(tx.NOISE)), ("TRUNCATED_VALUE", "P2", "value_raw", F.contains(c("value_raw"), F.lit("Ver más"))), ("POSITION_MISSING", "P3", "position", c("position").isNull())]
-    return ql.issues(t("product_attributes"), ["attr_id"], rules)
+    return ql.detail_structure(t("product_attributes").filter("asin is not null"), "asin", [c("attr_id"), c("position"), c("captured_at")])
 
 
 @query("SELECT placement_id FROM category_placements WHERE category_name IS NOT NULL GROUP BY 1 HAVING count(DISTINCT category_name) > 1")
@@ -154,34 +171,116 @@ def dq19_replay_mismatch(t):
     return t("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").alias("f"), F.max("l_quantity").alias("l")).agg(F.count(F.lit(1)).alias("n"), F.count_if(c("f") != c("l")).alias("mismatches"))
 
 
-@query(f"SELECT snapshot_id, page, CASE WHEN count(DISTINCT asin) = 0 THEN 'FAILED' WHEN count(*) FILTER (WHERE rank IS NULL) * 2 > count(*) THEN 'UNVERIFIED' WHEN count(*) > count(DISTINCT asin) THEN 'PARTIAL' ELSE 'COMPLETE' END AS state FROM {CARD} GROUP BY 1, 2")
+_MEANING = {"BEST_SELLERS": "LIST_POSITION"}
+_OBS = f"""(SELECT snapshot_id, regexp_replace(regexp_replace(regexp_replace(trim(source_url), '[?#].*$', ''), '/ref=[^/]*', '', 'g'), '/+$', '') AS page_url, rank, nullif(raw_href, '') AS href, page_number * 1000 + card_index AS slot, evidence_source,
+CASE WHEN card_asin <> '' AND card_asin = href_asin THEN 'CONFIRMED' WHEN card_asin <> '' AND href_asin <> '' THEN 'CONFLICT' ELSE 'UNCONFIRMED' END AS state,
+CASE WHEN card_asin = href_asin OR representation_type = 'SUPPLEMENTAL' THEN nullif(href_asin, '') END AS product FROM identity_candidates)"""
+_PAGE_FACTS = f"""(SELECT snapshot_id, page_url, count(*) AS n, count(slot) AS slots, count(DISTINCT slot) AS slots_d, max(rank) AS expected, bool_or(evidence_source = 'ajax') AS proven, list(rank) FILTER (WHERE rank > 0) AS ranks,
+count(*) FILTER (WHERE rank <= 0) AS bad, count(*) FILTER (WHERE href IS NULL) AS no_link, count(*) FILTER (WHERE state = 'CONFLICT') AS conflicts, count(*) FILTER (WHERE state = 'CONFLICT' AND product IS NOT NULL) AS assigned,
+count(*) FILTER (WHERE state = 'UNCONFIRMED' AND product IS NOT NULL) AS unconfirmed, count(*) FILTER (WHERE state = 'CONFIRMED' AND product IS NULL) AS no_id FROM {_OBS} GROUP BY 1, 2)"""
+_PAGE_RULES = [
+    ("ACCESS_STATUS_UNVERIFIED", "1", "contains(page_url, 'bebe')"), ("PAGE_TYPE_UNKNOWN", "1", "NOT contains(page_url, '/gp/bestsellers/')"), ("COMPLETENESS_UNVERIFIED", "1", "NOT coalesce(proven, false)"), ("EXPECTED_COUNT_MISMATCH", "abs(expected - n)", "proven AND n <> expected"),
+    ("SLOT_POSITION_MISSING", "n - slots", "slots < n"), ("DUPLICATE_PRODUCT_SLOT", "1", "slots > slots_d OR n - slots > 1"), ("INVALID_VISIBLE_RANK", "bad", "bad > 0"), ("PRODUCT_LINK_MISSING", "no_link", "no_link > 0"), ("IDENTITY_CONFLICT", "conflicts", "conflicts > 0"),
+    ("CONFLICT_AUTO_ASSIGNED_PRODUCT", "assigned", "assigned > 0"), ("UNCONFIRMED_ASSIGNED_PRODUCT", "unconfirmed", "unconfirmed > 0"), ("CONFIRMED_PRODUCT_ID_MISSING", "no_id", "no_id > 0"), ("DUPLICATE_VISIBLE_RANK", "len(ranks) - len(list_distinct(ranks))", "len(ranks) > len(list_distinct(ranks))"),
+    ("RANK_COVERAGE_GAP", "1", "expected >= 1 AND list_sort(list_distinct(coalesce(ranks, []))) <> range(1, expected + 1)"), ("RANK_COVERAGE_UNVERIFIED", "1", "NOT coalesce(expected >= 1, false)"),
+]
+_PAGE_FOUND = " UNION ALL ".join(f"SELECT snapshot_id, page_url, '{code}' AS code, CAST({n} AS BIGINT) AS n FROM {_PAGE_FACTS} WHERE {when}" for code, n, when in _PAGE_RULES)
+_PAGE_STATES = f"""SELECT snapshot_id, page_url, CASE WHEN bool_or(code IN ('PAGE_TYPE_UNKNOWN', 'NO_PRODUCT_CONTENT')) THEN 'FAILED' WHEN bool_or(code NOT IN ('COMPLETENESS_UNVERIFIED', 'RANK_COVERAGE_UNVERIFIED')) THEN 'PARTIAL' WHEN count(code) > 0 THEN 'UNVERIFIED' ELSE 'COMPLETE' END AS status,
+coalesce(array_to_string(list_sort(list(DISTINCT code) FILTER (WHERE code NOT IN ('COMPLETENESS_UNVERIFIED', 'RANK_COVERAGE_UNVERIFIED'))), ';'), '') AS reasons FROM (SELECT snapshot_id, page_url FROM {_OBS} GROUP BY 1, 2) LEFT JOIN ({_PAGE_FOUND}) USING (snapshot_id, page_url) GROUP BY 1, 2"""
+
+
+def _pages_and_rows(t) -> tuple[DataFrame, DataFrame]:
+    """The cards as observations on list pages, and the pages they lie on."""
+    k = cards(t).withColumnRenamed("page", "page_url")
+    card, href = c("card_asin"), c("href_asin")
+    state = F.when((card != "") & (card == href), "CONFIRMED").when((card != "") & (href != ""), "CONFLICT").otherwise("UNCONFIRMED")
+    product = F.when((card == href) | (c("representation_type") == "SUPPLEMENTAL"), F.nullif(href, F.lit("")))
+    rows = k.select("snapshot_id", "page_url", F.lit("BEST_SELLERS").alias("source_type"), F.lit("LIST_POSITION").alias("rank_semantics"), c("page_url").alias("source_id"), (c("page_number") * 1000 + c("card_index")).alias("slot_position"), c("rank").alias("rank_value"),
+                    c("raw_href").alias("raw_product_url"), state.alias("identity_status"), product.alias("product_id"), card.alias("asin_from_card"), "observed_at", "evidence_source")
+    pages = rows.groupBy("snapshot_id", "page_url").agg(F.max("rank_value").cast("bigint").alias("expected_count"), F.bool_or(c("evidence_source") == "ajax").alias("count_proven"))
+    recognized = F.when(F.contains("page_url", F.lit("/gp/bestsellers/")), True)
+    access = F.when(F.contains("page_url", F.lit("bebe")), "UNKNOWN").otherwise("NORMAL")
+    return pages.select("*", F.lit("BEST_SELLERS").alias("source_type"), F.lit("LIST_POSITION").alias("rank_semantics"), c("page_url").alias("source_id"), access.alias("access_status"), recognized.alias("recognized_page_type"), F.lit(True).alias("contiguous_ranks"),
+                        F.lit(1).alias("expected_rank_start"), c("expected_count").alias("expected_rank_end")), rows
+
+
+@query(_PAGE_FOUND)
+def dq20_page_findings(t):
+    pages, rows = _pages_and_rows(t)
+    return gates.page_findings(pages, rows, ["snapshot_id", "page_url"], _MEANING).select("snapshot_id", "page_url", "code", "n")
+
+
+@query(_PAGE_STATES)
 def dq20_page_gate(t):
-    n, d, none = F.count(F.lit(1)), F.countDistinct("asin"), F.count_if(c("rank").isNull())
-    return cards(t).groupBy("snapshot_id", "page").agg(F.when(d == 0, "FAILED").when(none * 2 > n, "UNVERIFIED").when(n > d, "PARTIAL").otherwise("COMPLETE").alias("state"))
+    pages, rows = _pages_and_rows(t)
+    keys = ["snapshot_id", "page_url"]
+    return gates.states(pages, gates.page_findings(pages, rows, keys, _MEANING), keys)
 
 
 _FACTS = f"(SELECT snapshot_id, count(DISTINCT page) AS pages, count(DISTINCT asin) AS items, count(*) AS n, count(*) FILTER (WHERE rank IS NULL) AS no_rank FROM {CARD} GROUP BY 1)"
 
 
-@query(f"SELECT snapshot_id, array_to_string(list_filter([CASE WHEN NOT pages >= 10 THEN 'ENOUGH_PAGES' END, CASE WHEN NOT n < 2 * items THEN 'FEW_DUPLICATES' END], lambda x: x IS NOT NULL), ';') AS reasons, pages >= 10 AND n < 2 * items AS passed FROM {_FACTS}")
+_SNAP_FOUND = f"""SELECT snapshot_id, code, CAST(sum(n) AS BIGINT) AS n FROM ({_PAGE_FOUND}) GROUP BY 1, 2
+UNION ALL SELECT snapshot_id, 'DUPLICATE_OBSERVATION_ID', count(*) FROM (SELECT snapshot_id, coalesce(asin, '') || '|' || coalesce(source_url, '') AS id FROM identity_candidates GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1
+UNION ALL SELECT i.snapshot_id, 'OBSERVATION_TIME_INVALID', count(*) FROM identity_candidates i JOIN ranking_snapshots s USING (snapshot_id) WHERE i.observed_at IS NULL OR CAST(i.observed_at AS DATE) <> CAST(s.observed_at AS DATE) GROUP BY 1
+UNION ALL SELECT snapshot_id, 'PLANNED_PAGE_COUNT_MISMATCH', 1 FROM (SELECT s.snapshot_id, count(DISTINCT page_url) AS p FROM ranking_snapshots s LEFT JOIN {_OBS} o USING (snapshot_id) GROUP BY 1) WHERE p <> 16"""
+
+
+def _snapshot_gate(t) -> DataFrame:
+    pages, observed = _pages_and_rows(t)
+    named = F.concat(F.coalesce("asin", F.lit("")), F.lit("|"), F.coalesce("source_url", F.lit("")))  # an observation is a card at an address
+    raw = t("identity_candidates").select("snapshot_id", clean_page_url(c("source_url")).alias("page_url"), named.alias("observation_id"), "observed_at", c("rank").alias("rank_value"), c("raw_href").alias("raw_product_url"))
+    manifests = t("ranking_snapshots").select("snapshot_id", "origin", F.lit(16).alias("planned_pages"), F.to_date("observed_at").alias("local_date"), F.lit(True).alias("access_stop_enforced"))
+    found = gates.page_findings(pages, observed, ["snapshot_id", "page_url"], _MEANING)
+    return gates.snapshot_findings(manifests, pages, raw, found)
+
+
+@query(_SNAP_FOUND)
+def dq21_snapshot_findings(t):
+    return _snapshot_gate(t).select("snapshot_id", "code", "n")
+
+
+@query(f"SELECT snapshot_id, CASE WHEN bool_or(code = 'PAGE_TYPE_UNKNOWN') THEN 'FAILED' WHEN bool_or(code NOT IN ('COMPLETENESS_UNVERIFIED', 'RANK_COVERAGE_UNVERIFIED')) THEN 'PARTIAL' WHEN count(code) > 0 THEN 'UNVERIFIED' ELSE 'COMPLETE' END AS status, coalesce(array_to_string(list_sort(list(DISTINCT code) FILTER (WHERE code NOT IN ('COMPLETENESS_UNVERIFIED', 'RANK_COVERAGE_UNVERIFIED'))), ';'), '') AS reasons FROM ranking_snapshots LEFT JOIN ({_SNAP_FOUND}) USING (snapshot_id) GROUP BY 1")
 def dq21_snapshot_gate(t):
-    facts = cards(t).groupBy("snapshot_id").agg(F.countDistinct("page").alias("pages"), F.countDistinct("asin").alias("items"), F.count(F.lit(1)).alias("n"))
-    return ql.gate(facts, {"ENOUGH_PAGES": c("pages") >= 10, "FEW_DUPLICATES": c("n") < 2 * c("items")}).select("snapshot_id", "reasons", "passed")
+    return gates.states(t("ranking_snapshots"), _snapshot_gate(t), ["snapshot_id"])
 
 
-@query(f"SELECT count(*) = 12 AND min(items) > 0 AND sum(no_rank) < 0.1 * sum(n) AS authoritative, count(*) AS snapshots FROM {_FACTS}")
-def dq22_authority_gate(t):
-    facts = cards(t).groupBy("snapshot_id").agg(F.countDistinct("asin").alias("items"), F.count(F.lit(1)).alias("n"), F.count_if(c("rank").isNull()).alias("no_rank"))
-    whole = facts.agg(F.count(F.lit(1)).alias("snapshots"), F.min("items").alias("items"), F.sum("n").alias("n"), F.sum("no_rank").alias("no_rank"))
-    return ql.gate(whole, {"ALL_SNAPSHOTS": c("snapshots") == 12, "NONE_EMPTY": c("items") > 0, "RANKS": c("no_rank") < 0.1 * c("n")}).select(c("passed").alias("authoritative"), "snapshots")
+_GATES_SQL = {
+    "ranking_complete": "max(expected) = min(expected)", "ranking_slots_complete": "sum(n - slots) = 0", "identity_ready": "sum(conflicts) * 5 < sum(n)", "identity_complete": "sum(unconfirmed) = 0", "access_normal": "true", "no_conflicts": "sum(conflicts) = 0",
+    "no_rank_gap": "bool_and(coalesce(len(list_distinct(ranks)) = list_max(ranks) - list_min(ranks) + 1, true))", "no_duplicate_rank_slot": "bool_and(coalesce(len(ranks) = len(list_distinct(ranks)), true))",
+}
 
 
-@query("WITH r AS (SELECT placement_id, arg_max(parent_placement_id, last_seen_at) AS p0, max(last_seen_at) AS seen FROM category_placements GROUP BY 1), x AS (SELECT DISTINCT c.placement_id, c.parent_placement_id AS parent, c.depth, c.marketplace FROM category_placements c JOIN r ON r.placement_id = c.placement_id AND r.seen = c.last_seen_at) SELECT a.placement_id, unnest(list_filter([CASE WHEN coalesce(a.parent, '') <> '' AND b.placement_id IS NULL THEN 'PARENT_MISSING' END, CASE WHEN a.parent = a.placement_id THEN 'SELF_PARENT' END, CASE WHEN b.placement_id IS NOT NULL AND a.depth <> b.depth + 1 THEN 'DEPTH_MISMATCH' END, CASE WHEN coalesce(a.parent, '') = '' AND a.depth <> 0 THEN 'ROOT_DEPTH' END, CASE WHEN b.marketplace <> a.marketplace THEN 'OTHER_MARKET' END], lambda e: e IS NOT NULL)) AS error FROM x a LEFT JOIN x b ON b.placement_id = a.parent")
+@query(f"SELECT snapshot_id, CASE WHEN len(r) = 0 THEN 'AUTHORITATIVE' ELSE 'BLOCKED' END AS authority_status, array_to_string(r, ';') AS reasons FROM (SELECT snapshot_id, list_filter([{', '.join(f'CASE WHEN NOT coalesce({w}, false) THEN {chr(39)}{k}{chr(39)} END' for k, w in _GATES_SQL.items())}], lambda x: x IS NOT NULL) AS r FROM {_PAGE_FACTS} GROUP BY 1)")
+def dq22_authority_gate(t):
+    pages, rows = _pages_and_rows(t)
+    positive = F.when(c("rank_value") > 0, c("rank_value"))
+    per = rows.groupBy("snapshot_id", "page_url").agg(F.max("rank_value").alias("expected"), F.count(F.lit(1)).alias("n"), F.count("slot_position").alias("slots"), F.count_if(c("identity_status") == "CONFLICT").alias("conflicts"),
+        F.count_if((c("identity_status") == "UNCONFIRMED") & c("product_id").isNotNull()).alias("unconfirmed"), F.count(positive).alias("ranks"), F.countDistinct(positive).alias("ranks_d"), (F.max(positive) - F.min(positive) + 1).alias("span"))
+    facts = per.groupBy("snapshot_id").agg(
+        (F.max("expected") == F.min("expected")).alias("ranking_complete"), (F.sum(c("n") - c("slots")) == 0).alias("ranking_slots_complete"), (F.sum("conflicts") * 5 < F.sum("n")).alias("identity_ready"), (F.sum("unconfirmed") == 0).alias("identity_complete"), F.lit(True).alias("access_normal"),
+        (F.sum("conflicts") == 0).alias("no_conflicts"), F.every(F.coalesce(c("ranks_d") == c("span"), F.lit(True))).alias("no_rank_gap"), F.every(c("ranks") == c("ranks_d")).alias("no_duplicate_rank_slot"),
+    )
+    return gates.authority(facts, "snapshot_id")
+
+
+_LATEST_PLACEMENT = "(SELECT DISTINCT c.placement_id, c.marketplace, c.category_id, nullif(c.parent_placement_id, '') AS parent, c.parent_category_id, c.depth FROM category_placements c JOIN (SELECT placement_id, max(last_seen_at) AS seen FROM category_placements GROUP BY 1) r ON r.placement_id = c.placement_id AND r.seen = c.last_seen_at)"
+
+
+@query(f"""WITH RECURSIVE x AS {_LATEST_PLACEMENT}, p AS (SELECT placement_id, [category_id] AS path FROM x WHERE parent IS NULL OR parent NOT IN (SELECT placement_id FROM x) UNION ALL SELECT x.placement_id, list_append(p.path, x.category_id) FROM x JOIN p ON x.parent = p.placement_id),
+y AS (SELECT x.*, coalesce(p.path, []) AS path FROM x LEFT JOIN p USING (placement_id))
+SELECT a.placement_id, unnest(list_filter([CASE WHEN coalesce(a.category_id, '') = '' OR coalesce(a.marketplace, '') = '' THEN 'MALFORMED' END, CASE WHEN a.depth IS DISTINCT FROM len(a.path) - 1 THEN 'DEPTH_PATH_MISMATCH' END, CASE WHEN a.path[-1] IS DISTINCT FROM a.category_id THEN 'PATH_END_MISMATCH' END,
+CASE WHEN len(a.path) > len(list_distinct(a.path)) THEN 'PATH_CYCLE' END, CASE WHEN a.parent IS NULL AND a.depth IS DISTINCT FROM 0 THEN 'ROOT_DEPTH' END, CASE WHEN a.parent IS NOT NULL AND b.placement_id IS NULL THEN 'PARENT_MISSING' END, CASE WHEN b.placement_id IS NOT NULL AND a.marketplace IS DISTINCT FROM b.marketplace THEN 'OTHER_MARKET' END,
+CASE WHEN b.placement_id IS NOT NULL AND a.parent_category_id IS DISTINCT FROM b.category_id THEN 'PARENT_CATEGORY_MISMATCH' END, CASE WHEN b.placement_id IS NOT NULL AND a.path[:-2] IS DISTINCT FROM b.path THEN 'PATH_NOT_BELOW_PARENT' END, CASE WHEN b.placement_id IS NOT NULL AND a.depth IS DISTINCT FROM b.depth + 1 THEN 'DEPTH_NOT_BELOW_PARENT' END], lambda e: e IS NOT NULL)) AS error
+FROM y a LEFT JOIN y b ON b.placement_id = a.parent UNION ALL SELECT NULL, 'ROOT_COUNT' FROM (SELECT count(*) AS n FROM x WHERE parent IS NULL) WHERE n <> 1""")
 def dq23_tree_errors(t):
-    from rastro.operators.hierarchy import latest_rows
+    from rastro.operators.hierarchy import latest_rows, resolve_hierarchy
 
-    latest = latest_rows(t("category_placements").select("placement_id", "parent_placement_id", "depth", "marketplace", "last_seen_at"), "placement_id", "last_seen_at")
-    return ql.tree_errors(latest, "placement_id", "parent_placement_id", "depth", "marketplace")
+    latest = latest_rows(t("category_placements").select("placement_id", "parent_placement_id", "depth", "marketplace", "category_id", "parent_category_id", "last_seen_at"), "placement_id", "last_seen_at")
+    own = latest.select(c("placement_id").alias("member"), "category_id")
+    steps = resolve_hierarchy(latest).select("node", F.posexplode("path").alias("at", "member")).join(own, "member")
+    paths = steps.groupBy(c("node").alias("placement_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "category_id"))), lambda x: x["category_id"]).alias("category_path"))
+    return gates.tree_errors(latest.join(paths, "placement_id", "left"))
 
 
 @query(f"WITH f AS (SELECT s.snapshot_id, s.origin, s.observed_at, x.pages, lag(x.pages) OVER w AS before, lag(s.origin) OVER w AS origin_before, lag(s.observed_at) OVER w AS at_before FROM ranking_snapshots s JOIN {_FACTS} x USING (snapshot_id) WINDOW w AS (ORDER BY s.observed_at)) SELECT snapshot_id, array_to_string(list_filter([CASE WHEN NOT coalesce(pages = before, false) THEN 'SAME_COVERAGE' END, CASE WHEN NOT coalesce(origin = origin_before, false) THEN 'SAME_ORIGIN' END, CASE WHEN NOT coalesce(CAST(observed_at AS DATE) - CAST(at_before AS DATE) <= 8, false) THEN 'NO_DATE_GAP' END], lambda e: e IS NOT NULL), ';') AS reasons FROM f")
