@@ -80,6 +80,22 @@ def field_differences(before: DataFrame, after: DataFrame, key: str, fields: lis
     return joined.select(key, "field", F.when(F.col("before").isNull(), "ADDED").when(F.col("after").isNull(), "REMOVED").otherwise("CHANGED").alias("change"))
 
 
+def field_extensions(before: DataFrame, after: DataFrame, key: str, fields: list[str], documents: list[str], regions: list[str]) -> DataFrame:
+    """``key, field, change`` of records present on both sides: how a later reading differs from an earlier one.
+
+    EMPTY_SCHEMA_EXTENSION if both are missing in different ways (null, empty), METADATA_EXTENSION if a JSON object of
+    ``documents`` keeps every entry it had, NEW_RAW_REGION for other changes of ``regions``, FIELD_ADDED if nothing was
+    there before, else FIELD_CHANGED.
+    """
+    both = before.select(key, *[F.col(f).cast("string").alias(f"a_{f}") for f in fields]).join(after.select(key, *[F.col(f).cast("string").alias(f"b_{f}") for f in fields]), key)
+    cells = both.select(key, F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"a_{f}").alias("a"), F.col(f"b_{f}").alias("b")) for f in fields])))
+    empty = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")).isin("", "{}", "[]")
+    entries = lambda c: F.map_entries(F.from_json(c, "map<string,string>"))
+    kept = F.col("field").isin(documents) & F.coalesce(F.size(F.array_except(entries("a"), entries("b"))) == 0, F.lit(False))
+    change = F.when(empty("a") & empty("b"), "EMPTY_SCHEMA_EXTENSION").when(kept, "METADATA_EXTENSION").when(F.col("field").isin(regions), "NEW_RAW_REGION").when(empty("a"), "FIELD_ADDED").otherwise("FIELD_CHANGED")
+    return cells.filter(~F.col("a").eqNullSafe(F.col("b"))).select(key, "field", change.alias("change"))
+
+
 def bag_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that one side has more often than the other, with ``side``: the two are equal as bags exactly if it is empty."""
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionAll(b.exceptAll(a).withColumn("side", F.lit("right")))

@@ -21,9 +21,11 @@ def group_statistics(rows: DataFrame, labels: DataFrame, label: str, item: str,
 
 
 def value_conflicts(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """``key, field, n_values`` where a key has several non-null values of a field."""
+    """``key, field, n_values, evidence`` where a key has several non-null values of a field; evidence are the least three."""
     long = rows.select(key, *[F.col(f).cast("string").alias(f) for f in fields]).unpivot(key, fields, "field", "value")
-    return long.groupBy(key, "field").agg(F.countDistinct("value").alias("n_values")).filter("n_values > 1")
+    values = long.filter("value is not null").distinct()
+    nth = F.row_number().over(Window.partitionBy(key, "field").orderBy("value"))  # ranked, so that no more than three are gathered
+    return values.withColumn("_i", nth).groupBy(key, "field").agg(F.count(F.lit(1)).alias("n_values"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("_i") <= 3, F.col("value")))), ";").alias("evidence")).filter("n_values > 1")
 
 
 def contribution(rows: DataFrame, source: str, item: str) -> DataFrame:

@@ -62,6 +62,12 @@ def identity_rules(asin: Column, url: Column, image_asin: Column) -> list[Rule]:
     ]
 
 
+def evidence_agreement(listed: Column, detailed: Column) -> Column:
+    """AGREED, CATEGORY_EVIDENCE_CONFLICT, ONE_SIDED or NONE of two statements of one category; missing ones contradict nothing."""
+    a, b = F.nullif(F.trim(listed), F.lit("")), F.nullif(F.trim(detailed), F.lit(""))
+    return F.when(a == b, "AGREED").when(a != b, "CATEGORY_EVIDENCE_CONFLICT").when(a.isNotNull() | b.isNotNull(), "ONE_SIDED").otherwise("NONE")
+
+
 def rank_integrity(rows: DataFrame, page: list[str], rank: str, asin: str, card_asin: Column, url: Column) -> DataFrame:
     """``page, code, n``: slots with several ids, gaps in ranks (of pages with at least three), ranks and ids missing or contradicted.
 

@@ -80,9 +80,9 @@ def ag7_seen(t):
     return cards(t).groupBy("asin").agg(F.min("observed_at").alias("first_seen"), F.max("observed_at").alias("last_seen"), n_rows().alias("n"))
 
 
-@query("SELECT asin, field, count(DISTINCT value) AS n_values FROM (SELECT asin, 'brand' AS field, brand AS value FROM product_details UNION ALL SELECT asin, 'price_eur', price_eur FROM product_details UNION ALL SELECT asin, 'seller', seller FROM product_details) GROUP BY 1, 2 HAVING count(DISTINCT value) > 1")
+@query(" UNION ALL ".join(f"SELECT asin, '{f}' AS field, count(DISTINCT {f}) AS n_values, array_to_string(list_sort(list(DISTINCT {f}))[1:3], ';') AS evidence FROM {CARD} GROUP BY 1 HAVING count(DISTINCT {f}) > 1" for f in ("card_asin", "evidence_source", "raw_href")))
 def ag8_value_conflicts(t):
-    return ms.value_conflicts(t("product_details"), "asin", ["brand", "price_eur", "seller"])
+    return ms.value_conflicts(cards(t), "asin", ["card_asin", "evidence_source", "raw_href"])
 
 
 @query("WITH v AS (SELECT user_id, ts, value, event_id FROM events WHERE value > 1), l AS (SELECT user_id, max(ts) AS ts FROM v GROUP BY 1) SELECT v.user_id, l.ts, CASE WHEN count(DISTINCT value) = 1 THEN min(value) END AS value, min(event_id) AS evidence FROM v JOIN l ON l.user_id = v.user_id AND l.ts = v.ts GROUP BY 1, 2")

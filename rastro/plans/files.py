@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from rastro.functions.dates import MADRID
 from rastro.operators import joins
 from rastro.operators.quality import chain_breaks
-from rastro.session import cut, read, shared_folder
+from rastro.session import cut, passing_folder, read
 from rastro.sources import html, readers, writers
 from rastro.streaming import catalogue as st
 
@@ -30,7 +29,7 @@ class Place:
         return read(self.spark, self.sf_dir, table)
 
     def new(self) -> str:
-        return f"{shared_folder(self.spark)}/files-{uuid.uuid4().hex}"
+        return passing_folder(self.spark, "files")
 
 
 def query(sql: str | None) -> Callable:
@@ -43,27 +42,37 @@ def query(sql: str | None) -> Callable:
     return register
 
 
-def small_part(t: Place) -> DataFrame:
-    return t("nation").select("n_nationkey", "n_name", "n_regionkey")
+def listing_rows(t: Place) -> DataFrame:
+    """The listings, each once, as small records."""
+    p = t("product_details")
+    return p.select(c("listing_id").cast("int").alias("number"), c("asin").alias("name"), (c("listing_id") % 5).cast("int").alias("part")).distinct()
 
 
-_NATION = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
-_FIELDS = "n_nationkey int, n_name string, n_regionkey int"
+def documents_of(rows: DataFrame, *keys: str, size: int = 500) -> DataFrame:
+    """``rows`` with a ``chunk`` for about every ``size`` of them, so that a document written from a chunk is bounded."""
+    return rows.withColumn("chunk", F.pmod(F.xxhash64(*rows.columns), F.lit(max(1, rows.count() // size))))
 
 
-@query(_NATION)
+_LISTINGS = "(SELECT DISTINCT CAST(listing_id AS INT) AS number, asin AS name, CAST(listing_id % 5 AS INT) AS part FROM product_details)"
+_ALL_LISTINGS = f"SELECT number, name, part FROM {_LISTINGS}"
+_FIELDS = "number int, name string, part int"
+
+
+@query(_ALL_LISTINGS)
 def src1_json_list(t):
     path = t.new()
-    small_part(t).agg(F.to_json(F.collect_list(F.struct("*")))).coalesce(1).write.text(path)
+    chunks = documents_of(listing_rows(t)).groupBy("chunk").agg(F.to_json(F.collect_list(F.struct("number", "name", "part"))).alias("v"))
+    chunks.select("v").write.option("maxRecordsPerFile", 1).text(path)
     return readers.json_records(t.spark, path, _FIELDS)
 
 
-@query(_NATION)
+@query(_ALL_LISTINGS)
 def src2_json_wrappers(t):
     path = t.new()
-    row = F.struct("n_nationkey", "n_name", "n_regionkey")
-    listed = small_part(t).filter("n_regionkey < 3").groupBy("n_regionkey").agg(F.to_json(F.struct(F.collect_list(row).alias("rankings"))).alias("v"))
-    keyed = small_part(t).filter("n_regionkey >= 3").groupBy("n_regionkey").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(c("n_nationkey").cast("string"), row)))).alias("v"))
+    row = F.struct("number", "name", "part")
+    rows = documents_of(listing_rows(t))
+    listed = rows.filter("part < 3").groupBy("part", "chunk").agg(F.to_json(F.struct(F.collect_list(row).alias("rankings"))).alias("v"))
+    keyed = rows.filter("part >= 3").groupBy("part", "chunk").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(c("number").cast("string"), row)))).alias("v"))
     for i, v in enumerate((listed, keyed)):
         v.select("v").repartition(5, "v").write.mode("append").option("maxRecordsPerFile", 1).text(path)
     return readers.json_records(t.spark, path, _FIELDS)
@@ -84,31 +93,31 @@ def src4_products_csv(t):
     return rows.select("listing_id", "item", "price")
 
 
-@query("SELECT 'B' || lpad(n_nationkey::VARCHAR, 9, '0') AS item, '<html>' || n_name || '</html>' AS body, true AS verified FROM nation")
+@query(f"SELECT 'B' || lpad(number::VARCHAR, 9, '0') AS item, '<html>' || name || '</html>' AS body, true AS verified FROM {_LISTINGS}")
 def src5_html_index(t):
     path = t.new()
-    pages = small_part(t).select(F.concat(F.lit("B"), F.lpad(c("n_nationkey").cast("string"), 9, "0")).alias("d"), F.concat(F.lit("<html>"), c("n_name"), F.lit("</html>")).alias("value"))
+    pages = listing_rows(t).select(F.concat(F.lit("B"), F.lpad(c("number").cast("string"), 9, "0")).alias("d"), F.concat(F.lit("<html>"), c("name"), F.lit("</html>")).alias("value"))
     for copy in ("run_1", "run_2"):
         pages.write.partitionBy("d").option("lineSep", "~").text(f"{path}/{copy}")
     index = readers.html_index(t.spark, path, r"d=(B[0-9]{9})/[^/]*\.txt$", "*.txt")
     return index.select("item", F.rtrim(c("body"), F.lit("~")).alias("body"), (F.sha2("body", 256) == c("sha256")).alias("verified"))
 
 
-@query(_NATION)
+@query(_ALL_LISTINGS)
 def src7_checkpoint_folder(t):
     path = t.new()
-    small_part(t).repartition(4).write.json(path)
+    listing_rows(t).repartition(4).write.json(path)
     return t.spark.read.schema(_FIELDS).json(path)
 
 
-@query("SELECT n_nationkey, n_nationkey % 5 <> 0 OR n_nationkey % 2 = 0 AS readable FROM nation")
+@query(f"SELECT number, number % 5 <> 0 OR number % 2 = 0 AS readable FROM {_LISTINGS}")
 def src8_sealed(t):
-    s = small_part(t)
-    text = F.to_json(F.struct("n_nationkey", "n_name"))
+    s = listing_rows(t)
+    text = F.to_json(F.struct("number", "name"))
     good = F.sha2(text, 256)
-    broken = c("n_nationkey") % 5 == 0
-    rows = s.select("n_nationkey", F.when(broken, F.concat(text, F.lit(" "))).otherwise(text).alias("payload"), good.alias("payload_sha256"), text.alias("backup"), F.when(broken & (c("n_nationkey") % 2 != 0), "").otherwise(good).alias("backup_sha256"))
-    return readers.sealed(rows).select("n_nationkey", c("verified").isNotNull().alias("readable"))
+    broken = c("number") % 5 == 0
+    rows = s.select("number", F.when(broken, F.concat(text, F.lit(" "))).otherwise(text).alias("payload"), good.alias("payload_sha256"), text.alias("backup"), F.when(broken & (c("number") % 2 != 0), "").otherwise(good).alias("backup_sha256"))
+    return readers.sealed(rows).select("number", c("verified").isNotNull().alias("readable"))
 
 
 @query("SELECT event_id, user_id FROM events WHERE event_type = 'click'")
@@ -126,10 +135,10 @@ def src12_json_predicate(t):
     return readers.json_equals(t("events"), "props", "$.k", "1").select("event_id", "value")
 
 
-@query("SELECT n_nationkey::VARCHAR AS \"ASIN\", n_name AS \"Notas\" FROM nation")
+@query(f"SELECT number::VARCHAR AS \"ASIN\", name AS \"Notas\" FROM {_LISTINGS}")
 def src13_header_rows(t):
     top = t.spark.createDataFrame([(0, ["Informe", ""]), (1, ["", ""]), (2, ["ASIN", "Notas"])], "at bigint, cells array<string>")
-    body = small_part(t).select((c("n_nationkey") + 3).cast("bigint").alias("at"), F.array(c("n_nationkey").cast("string"), "n_name").alias("cells"))
+    body = listing_rows(t).select((c("number") + 3).cast("bigint").alias("at"), F.array(c("number").cast("string"), "name").alias("cells"))
     return readers.header_rows(top.unionAll(body), "at", "cells", ["ASIN", "Notas"])
 
 
@@ -138,10 +147,10 @@ def src14_legacy(t):
     return t("product_details").select("asin", "title", c("rank").try_cast("bigint").alias("bestseller_rank"), c("price_eur").alias("price_raw"), F.lit(None).cast("string").alias("detail_bsr"))
 
 
-@query("SELECT n_name AS item, length(n_name) + 1 AS length FROM nation")
+@query(f"SELECT name AS item, length(name) + 1 AS length FROM {_LISTINGS}")
 def src15_binary_index(t):
     path = t.new()
-    small_part(t).select(c("n_name").alias("value"), c("n_name").alias("d")).write.partitionBy("d").text(path)
+    listing_rows(t).select(c("name").alias("value"), c("name").alias("d")).write.partitionBy("d").text(path)
     return readers.binary_by_item(t.spark, path, r"d=([^/]+)/.*\.txt$").select("item", c("length").cast("bigint").alias("length"))
 
 
@@ -169,9 +178,9 @@ def snk2_write_once(t):
     return t.spark.createDataFrame([(first, again, refused)], "first boolean, again boolean, refused boolean")
 
 
-@query("SELECT 1 AS schema_version, '{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || '}' AS payload, sha256('{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || '}') AS payload_sha256 FROM nation")
+@query(f"SELECT 1 AS schema_version, '{{\"name\":\"' || name || '\",\"number\":' || number || '}}' AS payload, sha256('{{\"name\":\"' || name || '\",\"number\":' || number || '}}') AS payload_sha256 FROM {_LISTINGS}")
 def snk3_seal(t):
-    return writers.seal(small_part(t).select("n_nationkey", "n_name"))
+    return writers.seal(listing_rows(t).select("number", "name"))
 
 
 @query("SELECT count(*) AS n, 0 AS differences FROM product_details")
@@ -183,9 +192,9 @@ def snk4_twin(t):
     return rows.agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(both))
 
 
-@query("SELECT n_name, n_nationkey, n_regionkey FROM nation")
+@query(f"SELECT name, number, part FROM {_LISTINGS}")
 def snk5_preferred_columns(t):
-    return writers.preferred_first(small_part(t), ["n_name"])
+    return writers.preferred_first(listing_rows(t), ["name"])
 
 
 @query("SELECT 0 AS differences")
@@ -204,17 +213,17 @@ def snk7_sheet(t):
 @query("SELECT 's1' AS latest, 2 AS published")
 def snk8_publish(t):
     path = t.new()
-    writers.publish_snapshot(small_part(t), path, "s1", True)
-    writers.publish_snapshot(small_part(t), path, "s2", False)
+    writers.publish_snapshot(listing_rows(t), path, "s1", True)
+    writers.publish_snapshot(listing_rows(t), path, "s2", False)
     latest = t.spark.read.parquet(f"{path}/_latest").head().snapshot_id
     parts = t.spark.read.option("basePath", path).parquet(f"{path}/snapshot_id=*").select("snapshot_id").distinct().count()
     return t.spark.createDataFrame([(latest, parts)], "latest string, published int")
 
 
-@query("SELECT 'a' AS part, count(*) AS n FROM nation UNION ALL SELECT 'b', count(*) FROM region")
+@query(f"SELECT 'a' AS part, count(*) AS n FROM {_LISTINGS} UNION ALL SELECT 'b', count(*) FROM region")
 def snk9_bundle(t):
     path = t.new()
-    for name, df in (("a", small_part(t)), ("b", t("region"))):
+    for name, df in (("a", listing_rows(t)), ("b", t("region"))):
         df.write.parquet(f"{path}/{name}")
     made = [t.spark.read.parquet(f"{path}/{n}").agg(F.lit(n).alias("part"), F.count(F.lit(1)).alias("n")) for n in "ab"]
     return made[0].unionAll(made[1])
@@ -334,10 +343,10 @@ def ht7_embedded_json(t):
     return t("events").select("event_id", page.alias("html")).select("event_id", F.get(F.from_json(listed, "array<struct<k:bigint>>"), 0)["k"].alias("k"))
 
 
-@query("SELECT n_nationkey, 1 AS depth, n_name AS name FROM nation UNION ALL SELECT n_nationkey, 2, 'child' FROM nation")
+@query(f"SELECT number, 1 AS depth, name AS name FROM {_LISTINGS} UNION ALL SELECT number, 2, 'child' FROM {_LISTINGS}")
 def ht8_navigation(t):
-    page = F.concat(F.lit("<nav><ul><li><a href='/b/1'>"), c("n_name"), F.lit("</a><ul><li><a href='/b/2'>child</a></li></ul></li></ul></nav>"))
-    return html.extract(small_part(t).select("n_nationkey", page.alias("html")), "n_nationkey", "html", "navigation").select("n_nationkey", "depth", "name")
+    page = F.concat(F.lit("<nav><ul><li><a href='/b/1'>"), c("name"), F.lit("</a><ul><li><a href='/b/2'>child</a></li></ul></li></ul></nav>"))
+    return html.extract(listing_rows(t).select("number", page.alias("html")), "number", "html", "navigation").select("number", "depth", "name")
 
 
 @query(f"SELECT listing_id, {_words('listprice_eur')} AS struck_price FROM product_details")
@@ -359,10 +368,10 @@ def js2_embedded_json(t):
     return embedded_json(t("events").select("event_id", page.alias("html")), "event_id", "html", "window.data =")
 
 
-@query("SELECT n_nationkey, sha256('{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || '}') AS digest FROM nation")
+@query(f"SELECT number, sha256('{{\"name\":\"' || name || '\",\"number\":' || number || '}}') AS digest FROM {_LISTINGS}")
 def ha1_canonical_digest(t):
-    rows = small_part(t).select("n_nationkey", "n_name")
-    return rows.select("n_nationkey", F.sha2(writers.row_text(rows), 256).alias("digest"))
+    rows = listing_rows(t).select("number", "name")
+    return rows.select("number", F.sha2(writers.row_text(rows), 256).alias("digest"))
 
 
 _UNIT = "(?:mg|g|gr|kg|ml|cl|dl|l|L|mm|cm|m)"

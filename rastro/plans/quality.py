@@ -161,9 +161,18 @@ def dq17_detail_structure(t):
     return ql.detail_structure(t("product_attributes").filter("asin is not null"), "asin", [c("attr_id"), c("position"), c("captured_at")])
 
 
-@query("SELECT placement_id FROM category_placements WHERE category_name IS NOT NULL GROUP BY 1 HAVING count(DISTINCT category_name) > 1")
+_FOLDED = f"translate(lower({{0}}), '{tx.ACCENTED}', '{tx.PLAIN}')"
+
+
+@query(f"""WITH r AS (SELECT upper(trim(asin)) AS asin, arg_min(regexp_extract(source_url, '/gp/[^/]+/([^/?#]+)', 1), (snapshot_id, source_url, card_index)) AS listed FROM identity_candidates WHERE coalesce(trim(asin), '') <> '' GROUP BY 1),
+d AS (SELECT DISTINCT listing_id, asin, {_FOLDED.format("trim(regexp_extract(bsr, ' en (.+)$', 1))")} AS detailed FROM product_details)
+SELECT listing_id, CASE WHEN coalesce(listed, '') <> '' AND coalesce(detailed, '') <> '' THEN CASE WHEN listed = detailed THEN 'AGREED' ELSE 'CATEGORY_EVIDENCE_CONFLICT' END WHEN coalesce(listed, '') <> '' OR coalesce(detailed, '') <> '' THEN 'ONE_SIDED' ELSE 'NONE' END AS evidence FROM d LEFT JOIN r USING (asin)""")
 def dq18_category_conflict(t):
-    return t("category_placements").filter("category_name is not null").groupBy("placement_id").agg(F.countDistinct("category_name").alias("n")).filter("n > 1").select("placement_id")
+    """The category a record's first list page names against the one its own page names."""
+    named = t("identity_candidates").select(F.upper(F.trim("asin")).alias("asin"), F.regexp_extract("source_url", "/gp/[^/]+/([^/?#]+)", 1).alias("listed"), F.struct("snapshot_id", "source_url", "card_index").alias("o"))
+    first = named.filter("asin <> ''").groupBy("asin").agg(F.min_by("listed", "o").alias("listed"))
+    own = t("product_details").select("listing_id", "asin", tx.fold(F.trim(F.regexp_extract("bsr", " en (.+)$", 1))).alias("detailed")).distinct()
+    return own.join(first, "asin", "left").select("listing_id", ql.evidence_agreement(c("listed"), c("detailed")).alias("evidence"))
 
 
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE f <> l) AS mismatches FROM (SELECT l_orderkey, l_linenumber, min(l_quantity) AS f, max(l_quantity) AS l FROM lineitem GROUP BY 1, 2)")

@@ -365,11 +365,23 @@ def jn26_supplement(t):
     return k.filter("rank between 31 and 50").join(base, "asin", "left").agg(F.count(F.lit(1)).alias("added"), F.count_if(c("known")).alias("merged"))
 
 
-@query("WITH a AS (SELECT asin, min(price_eur) AS price, min(rating) AS rating FROM product_details GROUP BY 1), b AS (SELECT asin, max(price_eur) AS price, max(rating) AS rating FROM product_details GROUP BY 1) SELECT asin, 'price' AS field, CASE WHEN a.price IS NULL THEN 'ADDED' WHEN b.price IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM a JOIN b USING (asin) WHERE a.price IS DISTINCT FROM b.price UNION ALL SELECT asin, 'rating', CASE WHEN a.rating IS NULL THEN 'ADDED' WHEN b.rating IS NULL THEN 'REMOVED' ELSE 'CHANGED' END FROM a JOIN b USING (asin) WHERE a.rating IS DISTINCT FROM b.rating")
+def _snapshot_cells(n: int) -> str:
+    return f"(SELECT upper(trim(asin)) AS asin, max(rank_raw) AS rank_raw, max(raw_href) AS raw_href, max(card_asin) AS card_asin, max(evidence_source) AS evidence_source, '{{\"page\":' || max(page_number) || CASE WHEN {n} = 2 THEN ',\"card\":' || max(card_index) ELSE '' END || '}}' AS place FROM identity_candidates WHERE snapshot_id = (SELECT snapshot_id FROM ranking_snapshots ORDER BY observed_at LIMIT 1 OFFSET {n - 1}) GROUP BY 1)"
+
+
+_CELL_SQL = "SELECT a.asin, '{f}' AS field, CASE WHEN coalesce(a.{f}, '') = '' AND coalesce(b.{f}, '') = '' THEN 'EMPTY_SCHEMA_EXTENSION' WHEN '{f}' = 'place' AND regexp_extract(a.place, '\"page\":([0-9]+)', 1) = regexp_extract(b.place, '\"page\":([0-9]+)', 1) THEN 'METADATA_EXTENSION' WHEN '{f}' = 'raw_href' THEN 'NEW_RAW_REGION' WHEN coalesce(a.{f}, '') = '' THEN 'FIELD_ADDED' ELSE 'FIELD_CHANGED' END AS change FROM {a} a JOIN {b} b USING (asin) WHERE a.{f} IS DISTINCT FROM b.{f}"
+
+
+@query(" UNION ALL ".join(_CELL_SQL.format(f=f, a=_snapshot_cells(1), b=_snapshot_cells(2)) for f in ("rank_raw", "raw_href", "card_asin", "evidence_source", "place")))
 def jn27_field_differences(t):
-    p = t("product_details").groupBy("asin")
-    a, b = p.agg(F.min("price_eur").alias("price"), F.min("rating").alias("rating")), p.agg(F.max("price_eur").alias("price"), F.max("rating").alias("rating"))
-    return joins.field_differences(a, b, "asin", ["price", "rating"])
+    names = [r.snapshot_id for r in t("ranking_snapshots").orderBy("observed_at").limit(2).collect()]  # of the fixed list of snapshots
+
+    def cells(n: int) -> DataFrame:
+        place = F.struct(F.max("page_number").alias("page"), *([F.max("card_index").alias("card")] if n == 2 else []))
+        rows_ = t("identity_candidates").filter(c("snapshot_id") == names[n - 1]).groupBy(F.upper(F.trim("asin")).alias("asin"))
+        return rows_.agg(*[F.max(f).alias(f) for f in ("rank_raw", "raw_href", "card_asin", "evidence_source")], F.to_json(place).alias("place"))
+
+    return joins.field_extensions(cells(1), cells(2), "asin", ["rank_raw", "raw_href", "card_asin", "evidence_source", "place"], ["place"], ["raw_href"])
 
 
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE nullif(trim(p.brand), '') IS NULL AND m.v IS NOT NULL) AS changed FROM product_details p LEFT JOIN (SELECT asin, min(value_raw) AS v FROM product_attributes WHERE lower(label_raw) = 'marca' GROUP BY 1) m ON m.asin = p.asin")

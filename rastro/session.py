@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -21,6 +22,7 @@ def build_session(app: str = "rastro", cores: int | str = "*", shuffle_partition
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -39,8 +41,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def passing_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, deleted when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and drop its lineage; survives the loss of any executor."""
+    """Materialise ``df`` reliably and drop its lineage; survives the loss of any executor.
+
+    The files go with the result if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, as in :func:`build_session`.
+    """
     spark = df.sparkSession
     context = spark.sparkContext._jsc.sc()
     if not context.getCheckpointDir().isDefined():

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from rastro.session import shared_folder
+from rastro.session import passing_folder
 
 
 def run_to_end(stream: DataFrame, mode: str, each: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
@@ -22,7 +21,7 @@ def run_to_end(stream: DataFrame, mode: str, each: Callable[[DataFrame, int], No
     if mode == "update" and each is None:
         raise ValueError("update mode needs a function that merges each batch")
     spark = stream.sparkSession
-    place = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    place = passing_folder(spark, "stream")
     out = f"{place}/out"
     if mode == "append" and each is None:
         writer = stream.writeStream.format("parquet").option("path", out)
