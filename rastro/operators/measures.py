@@ -37,9 +37,19 @@ def contribution(rows: DataFrame, source: str, item: str) -> DataFrame:
     return out.join(F.broadcast(total)).withColumn("coverage", F.col("items") / F.col("_total")).drop("_total")
 
 
-def accounting(rows: DataFrame, source: str, item: str, group: str) -> DataFrame:
-    """Rows, distinct items and groups per source and over all (source null): the total isn't the sum of the sources."""
-    return rows.groupingSets([[F.col(source)], []], F.col(source)).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(item).alias("items"), F.countDistinct(group).alias("groups"))
+def accounting(rows: DataFrame, source: str, raw: str, item: str, group: str, valid: Column, target: int) -> DataFrame:
+    """The accounts of a collection, per source and over all (source null).
+
+    Rows, distinct raw addresses, valid rows, distinct items and groups of those; for the total also the sum of the
+    sources' items, which isn't the number of items, as sources overlap; and what is short of ``target`` items. Rows
+    without a source belong to none and must be left out before.
+    """
+    named = rows.withColumns({"_item": F.when(valid, F.col(item)), "_group": F.when(valid, F.col(group))})
+    sets = named.groupingSets([[F.col(source)], []], F.col(source))
+    out = sets.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(raw).alias("raw_urls"), F.count("_item").alias("valid"), F.countDistinct("_item").alias("items"), F.countDistinct("_group").alias("groups"))
+    added = cut(out)
+    total = added.filter(F.col(source).isNotNull()).agg(F.sum("items").alias("_sum"))
+    return added.join(F.broadcast(total)).select("*", F.when(F.col(source).isNull(), F.col("_sum")).alias("sum_of_sources"), F.greatest(F.lit(target) - F.col("items"), F.lit(0)).alias("shortfall")).drop("_sum")
 
 
 def percentiles(rows: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:
@@ -94,10 +104,28 @@ def page_gate(rows: DataFrame, page: str, rank: str, item: str, expected: int) -
     return out.withColumn("reasons", reasons)
 
 
-def latest_valid(rows: DataFrame, key: str, at: str, value: str, tie: str, valid: Column) -> DataFrame:
-    """The value of the latest valid row; null if the rows of that time disagree."""
-    last = rows.filter(valid).withColumn("_last", F.max(at).over(Window.partitionBy(key))).filter(F.col(at) == F.col("_last"))
-    return last.groupBy(key).agg(F.max(at).alias(at), F.when(F.countDistinct(value) == 1, F.min(value)).alias(value), F.min(tie).alias("evidence"))
+def latest_rating(rows: DataFrame, key: str, at: str, tie: str, rating: str, reviews: str) -> DataFrame:
+    """``key, rating, evidence, reviews, basis``: what the latest rows with a rating say, else the latest count of reviews.
+
+    Missing ratings and counts are null. If the rows of the latest rating's time disagree, no rating stands (``TIE``);
+    ``evidence`` is the least ``tie`` among them. ``reviews`` is the latest stated count, of equal times that of the
+    greatest ``tie``. Each key costs two aggregates, however many rows it has.
+    """
+    rated = rows.filter(F.col(rating).isNotNull())
+    last = rated.groupBy(key).agg(F.max(at).alias("_at"))
+    of_time = rated.join(last, key).filter(F.col(at) == F.col("_at")).groupBy(key)
+    best = of_time.agg(F.min(rating).alias("_lo"), F.max(rating).alias("_hi"), F.min(tie).alias("evidence"))
+    counts = rows.groupBy(key).agg(F.max(F.when(F.col(reviews).isNotNull(), F.struct(at, tie, reviews))).alias("_r"))
+    one = F.col("_lo") == F.col("_hi")
+    basis = F.when(one, "RATING").when(F.col("_lo").isNotNull(), "TIE").when(F.col("_r").isNotNull(), "REVIEWS").otherwise("NONE")
+    return counts.join(best, key, "left").select(key, F.when(one, F.col("_lo")).alias(rating), "evidence", F.col(f"_r.{reviews}").alias(reviews), basis.alias("basis"))
+
+
+def progress(first: DataFrame, group: str, at: str, start: Column, now: Column, target: float, share: float) -> DataFrame:
+    """Per group: items first seen after ``start`` up to ``now``, how many of ``target`` were due after ``share`` of the time, the ratio, and whether it is below 0.8."""
+    captured = first.groupBy(group).agg(F.count_if((F.col(at) > start) & (F.col(at) <= now)).alias("captured"))
+    expected = F.lit(target * share)
+    return captured.withColumns({"expected": expected, "ratio": F.col("captured") / expected, "alert": F.col("captured") / expected < 0.8})
 
 
 def worst(rows: DataFrame, key: str, status: str, order: list[str]) -> DataFrame:

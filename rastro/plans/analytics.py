@@ -85,9 +85,10 @@ def ag8_value_conflicts(t):
     return ms.value_conflicts(cards(t), "asin", ["card_asin", "evidence_source", "raw_href"])
 
 
-@query("WITH v AS (SELECT user_id, ts, value, event_id FROM events WHERE value > 1), l AS (SELECT user_id, max(ts) AS ts FROM v GROUP BY 1) SELECT v.user_id, l.ts, CASE WHEN count(DISTINCT value) = 1 THEN min(value) END AS value, min(event_id) AS evidence FROM v JOIN l ON l.user_id = v.user_id AND l.ts = v.ts GROUP BY 1, 2")
+@query("WITH e AS (SELECT user_id % 700 AS item, ts, event_id, CASE WHEN value > 10 THEN value END AS rating, CASE WHEN event_id % 100 > 30 THEN event_id % 100 END AS reviews FROM events), r AS (SELECT item, max(ts) AS ts FROM e WHERE rating IS NOT NULL GROUP BY 1), v AS (SELECT item, arg_max(reviews, (ts, event_id)) AS reviews FROM e WHERE reviews IS NOT NULL GROUP BY 1) SELECT k.item, CASE WHEN count(DISTINCT e.rating) = 1 THEN min(e.rating) END AS rating, min(e.event_id) AS evidence, any_value(v.reviews) AS reviews, CASE WHEN count(DISTINCT e.rating) = 1 THEN 'RATING' WHEN count(e.rating) > 0 THEN 'TIE' WHEN any_value(v.reviews) IS NOT NULL THEN 'REVIEWS' ELSE 'NONE' END AS basis FROM (SELECT DISTINCT item FROM e) k LEFT JOIN r USING (item) LEFT JOIN e ON e.item = k.item AND e.ts = r.ts AND e.rating IS NOT NULL LEFT JOIN v ON v.item = k.item GROUP BY 1")
 def ag9_latest_valid(t):
-    return ms.latest_valid(t("events"), "user_id", "ts", "value", "event_id", c("value") > 1)
+    e = t("events").select((c("user_id") % 700).alias("item"), "ts", "event_id", F.when(c("value") > 10, c("value")).alias("rating"), F.when(c("event_id") % 100 > 30, c("event_id") % 100).alias("reviews"))
+    return ms.latest_rating(e, "item", "ts", "event_id", "rating", "reviews")
 
 
 @query("WITH s AS (SELECT DISTINCT event_type, user_id FROM events), k AS (SELECT user_id, count(*) AS n FROM s GROUP BY 1) SELECT event_type, count(*) AS items, count(*) FILTER (WHERE n > 1) AS shared, count(*) FILTER (WHERE n = 1) AS only_here, count(*) / (SELECT count(*) FROM k) AS coverage FROM s JOIN k USING (user_id) GROUP BY 1")
@@ -95,9 +96,14 @@ def ag10_contribution(t):
     return ms.contribution(t("events"), "event_type", "user_id")
 
 
-@query("SELECT l_returnflag, count(*) AS n, count(DISTINCT l_partkey) AS items, count(DISTINCT l_suppkey) AS groups FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), ())")
+_VALID = "regexp_matches(coalesce(asin, ''), '^[A-Z0-9]{10}$') AND rank > 0"
+
+
+@query(f"WITH k AS (SELECT page, raw_href, CASE WHEN {_VALID} THEN asin END AS item, regexp_extract(page, '/gp/[^/]+/([^/]+)', 1) AS grp FROM {CARD}), g AS (SELECT page, count(*) AS n, count(DISTINCT raw_href) AS raw_urls, count(item) AS valid, count(DISTINCT item) AS items, count(DISTINCT CASE WHEN item IS NOT NULL THEN grp END) AS groups FROM k GROUP BY GROUPING SETS ((page), ())) SELECT page, n, raw_urls, valid, items, groups, CASE WHEN page IS NULL THEN CAST((SELECT sum(items) FROM g WHERE page IS NOT NULL) AS BIGINT) END AS sum_of_sources, greatest(5000 - items, 0) AS shortfall FROM g")
 def ag11_accounting(t):
-    return ms.accounting(t("lineitem"), "l_returnflag", "l_partkey", "l_suppkey")
+    k = cards(t).filter("page is not null").withColumn("grp", F.regexp_extract("page", "/gp/[^/]+/([^/]+)", 1))
+    valid = F.coalesce(c("asin"), F.lit("")).rlike("^[A-Z0-9]{10}$") & (c("rank") > 0)
+    return ms.accounting(k, "page", "raw_href", "asin", "grp", valid, 5000)
 
 
 @query("SELECT seller, field, CASE WHEN nullif(trim(value), '') IS NULL THEN 'MISSING' ELSE 'PRESENT' END AS status, count(*) AS n FROM (SELECT seller, field, value FROM (SELECT seller, brand, price_eur, rating FROM product_details) UNPIVOT INCLUDE NULLS (value FOR field IN (brand, price_eur, rating))) GROUP BY 1, 2, 3")
@@ -188,9 +194,12 @@ def ag26_slot_conflicts(t):
     return cards(t).filter("rank is not null").groupBy("snapshot_id", "page", "rank").agg(F.countDistinct("asin").alias("items")).filter("items > 1")
 
 
-@query(f"SELECT asin, count(*) AS n, count(DISTINCT page) AS pages, bool_or(card_asin <> '' AND card_asin <> asin) AS conflict FROM {CARD} GROUP BY 1")
+@query(f"WITH k AS (SELECT *, card_asin <> '' AND card_asin <> asin AS bad FROM {CARD}), h AS (SELECT asin, page, rank, bad FROM k QUALIFY row_number() OVER (PARTITION BY asin ORDER BY bad DESC, snapshot_id, page, card_index, coalesce(rank, -1)) = 1) SELECT k.asin, count(*) AS n, array_to_string(list_sort(list(DISTINCT evidence_source)), ';') AS evidence, count(DISTINCT k.page) AS pages, bool_or(k.bad) AS conflict, h.page AS header_page, h.rank AS header_rank FROM k JOIN h ON h.asin IS NOT DISTINCT FROM k.asin GROUP BY k.asin, h.page, h.rank")
 def ag27_identity_groups(t):
-    return cards(t).groupBy("asin").agg(n_rows().alias("n"), F.countDistinct("page").alias("pages"), F.bool_or((c("card_asin") != "") & (c("card_asin") != c("asin"))).alias("conflict"))
+    bad = (c("card_asin") != "") & (c("card_asin") != c("asin"))
+    head = F.min(F.struct((~bad).alias("fine"), "snapshot_id", "page", "card_index", F.coalesce("rank", F.lit(-1)).alias("r"), "rank"))
+    g = cards(t).groupBy("asin").agg(n_rows().alias("n"), F.array_join(F.array_sort(F.collect_set("evidence_source")), ";").alias("evidence"), F.countDistinct("page").alias("pages"), F.bool_or(bad).alias("conflict"), head.alias("h"))
+    return g.select("asin", "n", "evidence", "pages", "conflict", c("h.page").alias("header_page"), c("h.rank").alias("header_rank"))
 
 
 @query(f"SELECT snapshot_id, count(*) AS n, count(*) FILTER (WHERE rank IS NULL) AS no_rank, count(*) FILTER (WHERE raw_href IS NULL) AS no_href, count(DISTINCT asin) AS items, count(DISTINCT page) AS pages, max(ingested_at) AS last_ingested FROM {CARD} GROUP BY 1")
@@ -277,9 +286,10 @@ def ag41_components(t):
     return ms.components(t("orders").select(c("o_custkey").alias("a"), (-(c("o_orderkey") % 997) - 1).alias("b")).distinct())
 
 
-@query("SELECT md5(coalesce(text, '')) AS h, count(DISTINCT doc_id) AS pages FROM documents GROUP BY 1 HAVING count(DISTINCT doc_id) > 1")
+@query("SELECT source, md5(text) AS h, count(DISTINCT doc_id) AS pages, count(DISTINCT (coalesce(lang, ''), n_chars)) AS slots FROM documents WHERE text <> '' GROUP BY 1, 2 HAVING count(DISTINCT doc_id) > 1")
 def ag42_repeated_content(t):
-    return t("documents").groupBy(F.md5(F.coalesce("text", F.lit(""))).alias("h")).agg(F.countDistinct("doc_id").alias("pages")).filter("pages > 1")
+    slot = F.struct(F.coalesce("lang", F.lit("")).alias("lang"), "n_chars")
+    return t("documents").filter("text <> ''").groupBy("source", F.md5("text").alias("h")).agg(F.countDistinct("doc_id").alias("pages"), F.countDistinct(slot).alias("slots")).filter("pages > 1")
 
 
 @query("SELECT count(*) AS n, count(DISTINCT event_id) AS unique_ids, count(*) - count(DISTINCT event_id) AS clashes FROM (SELECT event_id FROM events WHERE event_type IN ('click', 'view') UNION ALL SELECT event_id FROM events WHERE event_type IN ('view', 'error'))")
@@ -289,9 +299,12 @@ def ag43_campaign(t):
     return both.agg(n_rows().alias("n"), F.countDistinct("event_id").alias("unique_ids"), (n_rows() - F.countDistinct("event_id")).alias("clashes"))
 
 
-@query(f"SELECT page, bool_or(rank > 16) AS beyond_first_frame, count(DISTINCT raw_href) FILTER (WHERE rank > 16) > 0 AS new_links FROM {CARD} GROUP BY 1")
+@query(f"WITH k AS (SELECT snapshot_id, page, page_number, rank, asin FROM {CARD} WHERE page_number IS NOT NULL), r AS (SELECT DISTINCT snapshot_id, page, asin FROM k WHERE page_number = 1) SELECT k.snapshot_id, k.page, coalesce(bool_or(k.rank > 16), false) AS beyond_first_frame, count(DISTINCT k.asin) FILTER (WHERE r.asin IS NULL) AS new_items FROM k LEFT JOIN r ON r.snapshot_id = k.snapshot_id AND r.page = k.page AND r.asin = k.asin GROUP BY 1, 2")
 def ag44_loading(t):
-    return cards(t).groupBy("page").agg(F.bool_or(c("rank") > 16).alias("beyond_first_frame"), (F.countDistinct(F.when(c("rank") > 16, c("raw_href"))) > 0).alias("new_links"))
+    k = cards(t).filter("page_number is not null").select("snapshot_id", "page", "page_number", "rank", "asin")
+    root = k.filter("page_number = 1").select("snapshot_id", "page", "asin").distinct().withColumn("known", F.lit(True))
+    joined = k.join(root, ["snapshot_id", "page", "asin"], "left")
+    return joined.groupBy("snapshot_id", "page").agg(F.coalesce(F.bool_or(c("rank") > 16), F.lit(False)).alias("beyond_first_frame"), F.countDistinct(F.when(c("known").isNull(), c("asin"))).alias("new_items"))
 
 
 @query("SELECT a.k IS NOT NULL AS hit, count(*) AS terms, CAST(sum(n) AS BIGINT) AS weighted FROM (SELECT lower(label_raw) AS t, count(*) AS n FROM product_attributes WHERE label_raw IS NOT NULL GROUP BY 1) f LEFT JOIN (SELECT DISTINCT lower(label_es) AS k FROM attribute_columns) a ON a.k = f.t GROUP BY 1")
@@ -319,19 +332,29 @@ def ag48_quota_readiness(t):
     return quotas.join(groups, "g", "left").fillna(0, ["available"]).withColumn("shortfall", F.greatest(F.lit(0), 500 - c("available")))
 
 
-@query("SELECT user_id, min(event_id) AS first_event, count(*) AS n FROM events GROUP BY 1")
+@query("WITH f AS (SELECT user_id, event_type, min(event_id) AS e, count(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, min(e) AS first_event, CAST(sum(n) AS BIGINT) AS n, array_to_string(list(event_type ORDER BY e), ';') AS contexts, row_number() OVER (ORDER BY min(e)) AS position FROM f GROUP BY 1")
 def ag49_first_occurrence(t):
-    return t("events").groupBy("user_id").agg(F.min("event_id").alias("first_event"), n_rows().alias("n"))
+    from rastro.operators.flow import running_total
+
+    per = t("events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("e"), n_rows().alias("n"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("e", "event_type"))), lambda x: x["event_type"]), ";")
+    ids = per.groupBy("user_id").agg(F.min("e").alias("first_event"), F.sum("n").alias("n"), listed.alias("contexts"), F.lit(1).alias("one"))
+    return running_total(ids, ["first_event"], "one", "position").select("user_id", "first_event", "n", "contexts", c("position").cast("bigint").alias("position"))
 
 
-@query("SELECT section, count(*) FILTER (WHERE source = 'dom') AS dom, count(*) FILTER (WHERE source = 'payload') AS payload, count(*) FILTER (WHERE source IS NULL) AS missing FROM product_attributes GROUP BY 1")
+@query("SELECT coalesce(field, 'TOTAL') AS field, count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS missing, count(*) FILTER (WHERE value IS NOT NULL AND trim(value) = '') AS blank, count(*) FILTER (WHERE lower(trim(value)) IN ('genérico', 'marca blanca', 'n/d', '-')) AS placeholder FROM (SELECT field, value FROM (SELECT brand, seller, title, price_eur, rating FROM product_details) UNPIVOT INCLUDE NULLS (value FOR field IN (brand, seller, title, price_eur, rating))) GROUP BY GROUPING SETS ((field), ())")
 def ag50_issue_matrix(t):
-    return t("product_attributes").groupBy("section").agg(F.count_if(c("source") == "dom").alias("dom"), F.count_if(c("source") == "payload").alias("payload"), F.count_if(c("source").isNull()).alias("missing"))
+    p = t("product_details").select(F.lit(1).alias("one"), "brand", "seller", "title", "price_eur", "rating")
+    long = p.unpivot("one", ["brand", "seller", "title", "price_eur", "rating"], "field", "value")
+    issues = {"missing": c("value").isNull(), "blank": F.trim("value") == "", "placeholder": F.lower(F.trim("value")).isin("genérico", "marca blanca", "n/d", "-")}
+    return long.groupingSets([[c("field")], []], c("field")).agg(n_rows().alias("n"), *[F.count_if(w).alias(k) for k, w in issues.items()]).withColumn("field", F.coalesce("field", F.lit("TOTAL")))
 
 
-@query("SELECT asin, min(source_html) FILTER (WHERE source_html <> '') AS page, count(*) AS n FROM saved_cases GROUP BY 1")
+@query("SELECT asin, min(source_html) FILTER (WHERE regexp_matches(source_html, '^run_[0-9]+/')) AS page, count(*) FILTER (WHERE regexp_matches(source_html, '^run_[0-9]+/')) AS valid, count(*) FILTER (WHERE coalesce(source_html, '') = '') AS missing, count(*) FILTER (WHERE source_html <> '' AND NOT regexp_matches(source_html, '^run_[0-9]+/')) AS other FROM saved_cases GROUP BY 1")
 def ag51_first_valid_page(t):
-    return t("saved_cases").groupBy("asin").agg(F.min(F.when(c("source_html") != "", c("source_html"))).alias("page"), n_rows().alias("n"))
+    h = c("source_html")
+    ok = h.rlike("^run_[0-9]+/")
+    return t("saved_cases").groupBy("asin").agg(F.min(F.when(ok, h)).alias("page"), F.count_if(ok).alias("valid"), F.count_if(F.coalesce(h, F.lit("")) == "").alias("missing"), F.count_if((h != "") & ~ok).alias("other"))
 
 
 @query("SELECT k.status, coalesce(n, 0) AS n FROM (SELECT unnest(['DONE', 'PENDING', 'IN_PROGRESS', 'FAILED_FINAL', 'CANCELLED']) AS status) k LEFT JOIN (SELECT status, count(*) AS n FROM category_placements GROUP BY 1) g USING (status)")
@@ -340,16 +363,17 @@ def ag52_zero_filled(t):
     return domain.join(t("category_placements").groupBy("status").agg(n_rows().alias("n")), "status", "left").fillna(0, ["n"])
 
 
-@query("SELECT count(*) FILTER (WHERE first > TIMESTAMP '2024-01-05' AND first <= TIMESTAMP '2024-01-10') AS captured, count(*) AS total FROM (SELECT user_id, min(ts) AS first FROM events GROUP BY 1)")
+@query("WITH b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events), f AS (SELECT event_type, user_id, min(ts) AS first FROM events GROUP BY 1, 2), n AS (SELECT event_type, count(*) FILTER (WHERE first > lo AND first <= lo + INTERVAL 10 DAY) AS captured FROM f, b GROUP BY 1) SELECT event_type, captured, 150 * 10.0 / 30 AS expected, captured / (150 * 10.0 / 30) AS ratio, captured / (150 * 10.0 / 30) < 0.8 AS alert FROM n")
 def ag53_progress(t):
-    at = lambda d: F.lit(d).cast("timestamp_ntz")
-    first = t("events").groupBy("user_id").agg(F.min("ts").alias("first"))
-    return first.agg(F.count_if((c("first") > at("2024-01-05")) & (c("first") <= at("2024-01-10"))).alias("captured"), n_rows().alias("total"))
+    start = t("events").agg(F.min("ts").alias("start"))
+    first = t("events").groupBy("event_type", "user_id").agg(F.min("ts").alias("first")).join(F.broadcast(start))
+    return ms.progress(first, "event_type", "first", c("start"), c("start") + F.expr("INTERVAL 10 DAYS"), 150, 10 / 30)
 
 
-@query("SELECT evidence_source, count(*) AS n, count(DISTINCT raw_href) AS urls FROM identity_candidates GROUP BY 1")
+@query("SELECT evidence_source, count(*) AS n, count(DISTINCT raw_href) AS urls, count(*) FILTER (WHERE representation_type = 'RANKING_CARD') AS cards, count(*) FILTER (WHERE representation_type = 'SUPPLEMENTAL') AS supplemental, count(*) FILTER (WHERE representation_type IS NULL) AS no_state FROM identity_candidates GROUP BY 1")
 def ag54_type_counts(t):
-    return t("identity_candidates").groupBy("evidence_source").agg(n_rows().alias("n"), F.countDistinct("raw_href").alias("urls"))
+    kind = c("representation_type")
+    return t("identity_candidates").groupBy("evidence_source").agg(n_rows().alias("n"), F.countDistinct("raw_href").alias("urls"), F.count_if(kind == "RANKING_CARD").alias("cards"), F.count_if(kind == "SUPPLEMENTAL").alias("supplemental"), F.count_if(kind.isNull()).alias("no_state"))
 
 
 @query("SELECT event_type, count(*) AS n, bool_and(value > 0) AS ok FROM events GROUP BY 1")
@@ -506,12 +530,14 @@ def wn23_missing_ranges(t):
     return tl.missing_ranges(cards(t).filter("rank is not null").select("page", "rank").distinct(), ["page"], "rank")
 
 
-@query(f"SELECT page, CAST(sum(n) OVER (ORDER BY page) AS BIGINT) AS upto, sum(n) OVER (ORDER BY page) <= 5000 AS within FROM (SELECT page, count(*) AS n FROM {CARD} GROUP BY 1)")
+@query(f"WITH p AS (SELECT page, regexp_extract(page, '/gp/[^/]+/([^/]+)', 1) AS kind, count(*) AS n FROM {CARD} GROUP BY 1, 2) SELECT page, CAST(sum(n) OVER (ORDER BY page) AS BIGINT) AS upto, sum(n) OVER (ORDER BY page) <= 5000 AS within, page = min(page) OVER (PARTITION BY kind) AS first_of_kind FROM p")
 def wn24_budget_prefix(t):
     from rastro.operators.flow import running_total
 
-    pages = cards(t).groupBy("page").agg(n_rows().alias("n"))
-    return running_total(pages, ["page"], "n", "upto").select("page", c("upto").cast("bigint").alias("upto"), (c("upto") <= 5000).alias("within"))
+    pages = cards(t).groupBy("page", F.regexp_extract("page", "/gp/[^/]+/([^/]+)", 1).alias("kind")).agg(n_rows().alias("n"))
+    first = pages.groupBy("kind").agg(F.min("page").alias("first"))
+    total = running_total(pages, ["page"], "n", "upto").join(first, "kind")
+    return total.select("page", c("upto").cast("bigint").alias("upto"), (c("upto") <= 5000).alias("within"), (c("page") == c("first")).alias("first_of_kind"))
 
 
 @query(r"SELECT tail, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(source_url, '[?#].*$', ''), '/ref=.*$', '') AS tail FROM identity_candidates) GROUP BY 1")
