@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections import defaultdict, deque
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,39 @@ def running_total(rows: DataFrame, order: list[str], value: str, name: str) -> D
     return spread.withColumn("_own", own).join(F.broadcast(before), "_p").withColumn(name, F.col("_own") + F.col("_before")).drop("_p", "_own", "_before")
 
 
+def tiered_plan(sources: DataFrame, kind: str, category: str, gap: int, max_pages: int, max_requests: int, left: dict[str, int], cross: bool = False) -> DataFrame:
+    """``source_id, source_type, tier, page_count, requests, quantity``: what to take from which source to fill a gap.
+
+    ``sources(source_id, source_type, research_category, pages, page_capacity, request_cost)``: the first row of an id in
+    the order of its columns holds; rows without a positive capacity and cost are left out. Tier 1 has the missing kind and
+    category, tier 2 the kind, tier 3 (only if ``cross``) neither. In the order of tier and id each source gives as much as
+    the gap, its kind's budget ``left``, the pages and the requests left allow; what it takes shrinks all four for those
+    behind it. The walk is sequential by definition: sources are sorted and streamed through one task, which holds only
+    the four budgets and ends with them.
+    """
+    usable = (F.col("page_capacity") > 0) & (F.col("request_cost") > 0) & (F.col("pages") > 0) & F.col("source_type").isin(list(left)) & (F.coalesce(F.col("source_id"), F.lit("")) != "")
+    one = sources.filter(usable).groupBy("source_id").agg(F.min(F.struct("source_type", "research_category", "pages", "page_capacity", "request_cost")).alias("s")).select("source_id", "s.*")
+    tier = F.when((F.col("source_type") == kind) & (F.col("research_category") == category), 1).when(F.col("source_type") == kind, 2).otherwise(3)
+    ranked = one.withColumn("tier", tier).filter(F.col("tier") < (4 if cross else 3)).repartition(1).sortWithinPartitions("tier", "source_id")
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted, pages, requests, budgets = gap, max_pages, max_requests, dict(left)
+        for frame in frames:
+            out = []
+            for s in frame.itertuples():
+                quantity = min(wanted, budgets[s.source_type], min(s.pages, pages, requests // s.request_cost) * s.page_capacity)
+                if quantity > 0:
+                    used = -(-quantity // s.page_capacity)
+                    out.append((s.source_id, s.source_type, s.tier, used, used * s.request_cost, quantity))
+                    wanted, pages, requests = wanted - quantity, pages - used, requests - used * s.request_cost
+                    budgets[s.source_type] -= quantity
+            yield pd.DataFrame(out, columns=["source_id", "source_type", "tier", "page_count", "requests", "quantity"])
+            if not (wanted and pages and requests):
+                return
+
+    return ranked.mapInPandas(walk, "source_id string, source_type string, tier int, page_count bigint, requests bigint, quantity bigint")
+
+
 def _max_flow(arcs: dict[tuple, int], source: str, sink: str) -> int:
     """Value of a maximum flow: per round, distances to the sink, then paths along falling distances until none is left."""
     left: dict = defaultdict(dict)

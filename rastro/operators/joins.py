@@ -119,3 +119,23 @@ def best_rule(rows: DataFrame, rules: DataFrame, conditions: list[Column], row_k
     matched = rows.join(small(rules), reduce(lambda a, b: a | b, conditions)).withColumn("_scope", scope)
     top = matched.withColumn("_best", F.min("_scope").over(Window.partitionBy(row_key))).filter("_scope = _best")
     return top.groupBy(row_key).agg(F.when(F.countDistinct(category) == 1, F.min(category)).alias(category), (F.countDistinct(category) > 1).alias("conflict"))
+
+
+def closest_evidence(rows: DataFrame, key: str, parent: str, value: str) -> DataFrame:
+    """``key, value, taken_from``: each row's own value, else its parent's, else that of the least of its siblings that has one.
+
+    ``rows`` holds one row per key. A parent with very many children costs one row per child: siblings are reduced to the
+    least before they are joined.
+    """
+    up = rows.select(F.col(key).alias("_p"), F.col(value).alias("_up"))
+    family = rows.filter(F.col(value).isNotNull() & F.col(parent).isNotNull()).groupBy(F.col(parent).alias("_f")).agg(F.min(F.struct(key, value)).alias("_m"))
+    joined = rows.join(up, F.col(parent) == F.col("_p"), "left").join(family, F.col(parent) == F.col("_f"), "left")
+    taken = F.when(F.col(value).isNotNull(), "OWN").when(F.col("_up").isNotNull(), "PARENT").when(F.col(f"_m.{value}").isNotNull(), "FAMILY").otherwise("NONE")
+    return joined.select(key, F.coalesce(value, "_up", f"_m.{value}").alias(value), taken.alias("taken_from"))
+
+
+def supplement(base: DataFrame, extra: DataFrame, key: str, context: list[str]) -> DataFrame:
+    """Rows of ``extra`` whose (key, context) ``base`` doesn't have yet, each once, with ``merged``: whether the key is known."""
+    known = base.select(key).distinct().withColumn("merged", F.lit(True))
+    new = extra.select(key, *context).distinct().join(base.select(key, *context).distinct(), [key, *context], "left_anti")
+    return new.join(known, key, "left").fillna(False, ["merged"])

@@ -108,16 +108,19 @@ def flt2_group_ranges(t):
     return t("lineitem").join(own, "l_returnflag", "left").filter(c("l_quantity").between(F.coalesce("lo", F.lit(1.0)), F.coalesce("hi", F.lit(40.0)))).select("l_orderkey", "l_linenumber", "l_returnflag")
 
 
-@query("SELECT snapshot_id, asin FROM identity_candidates WHERE card_asin IS NOT NULL AND card_asin <> '' AND upper(trim(asin)) = card_asin")
+@query("WITH k AS (SELECT snapshot_id, upper(trim(asin)) AS asin, nullif(href_asin, '') AS product, CASE WHEN card_asin <> '' AND card_asin = href_asin THEN 'CONFIRMED' ELSE 'UNCONFIRMED' END AS state, card_asin <> '' AND href_asin <> '' AND card_asin <> href_asin AS conflict FROM identity_candidates) SELECT snapshot_id, asin FROM k WHERE product IS NOT NULL AND state = 'CONFIRMED' AND NOT conflict")
 def flt3_confirmed(t):
-    return t("identity_candidates").filter((tx.present(c("card_asin")).isNotNull()) & (F.upper(F.trim("asin")) == c("card_asin"))).select("snapshot_id", "asin")
+    card, href = c("card_asin"), c("href_asin")
+    k = t("identity_candidates").select("snapshot_id", F.upper(F.trim("asin")).alias("asin"), href.alias("product_id"), F.when((card != "") & (card == href), "CONFIRMED").otherwise("UNCONFIRMED").alias("identity_status"), F.array_compact(F.array(F.when((card != "") & (href != "") & (card != href), "CARD_LINK"))).alias("conflicts"))
+    return rows.confirmed(k).select("snapshot_id", "asin")
 
 
-@query("SELECT CASE WHEN raw_href IS NULL THEN 'excluded' WHEN contains(raw_href, '/dp/' || upper(trim(asin))) AND rank IS NOT NULL THEN 'qualified' ELSE 'invalid' END AS state, count(*) AS n FROM identity_candidates GROUP BY 1")
+@query("WITH k AS (SELECT snapshot_id, asin, raw_href, rank, evidence_source, representation_type, CASE WHEN raw_href IS NULL THEN NULL ELSE '/dp/' || nullif(upper(regexp_extract(raw_href, '/(?:dp|gp/product|gp/aw/d)/([A-Za-z0-9]{10})(?:[/?#]|$)', 1)), '') END AS url FROM identity_candidates) SELECT snapshot_id, CASE WHEN url IS NULL THEN 'excluded' WHEN url = '/dp/' || upper(trim(asin)) AND rank IS NOT NULL AND coalesce(representation_type <> 'SUPPLEMENTAL', true) AND evidence_source IS NOT NULL AND evidence_source <> '' THEN 'qualified' ELSE 'invalid' END AS state, count(*) AS n FROM k GROUP BY 1, 2")
 def flt4_qualified(t):
-    own = ur.item_id(c("raw_href")) == F.upper(F.trim("asin"))
-    state = F.when(c("raw_href").isNull(), "excluded").when(F.contains(c("raw_href"), F.concat(F.lit("/dp/"), F.upper(F.trim("asin")))) & c("rank").isNotNull(), "qualified").otherwise("invalid")
-    return t("identity_candidates").withColumn("own", own).groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    url = F.concat(F.lit("/dp/"), ur.item_id(c("raw_href")))
+    eligible = F.coalesce(c("representation_type") != "SUPPLEMENTAL", F.lit(True))
+    state = rows.qualification(url, F.concat(F.lit("/dp/"), F.upper(F.trim("asin"))), c("rank"), eligible, c("evidence_source"))
+    return t("identity_candidates").groupBy("snapshot_id", state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT listing_id FROM product_details WHERE coalesce(soldbyamazon <> 'No', true)")
@@ -172,11 +175,14 @@ def flt13_ordered_decision(t):
     return t("orders").select("o_orderkey", F.when(c("o_orderstatus") == "P", "HOLD").when(c("o_totalprice") > 300000, "REVIEW").when(c("o_orderpriority") == "1-URGENT", "FETCH_NOW").when(c("o_orderstatus") == "O", "FETCH").otherwise("KEEP").alias("action"))
 
 
-@query("SELECT p.listing_id, CASE WHEN s.seen IS NULL THEN 'NEW' WHEN nullif(trim(p.title), '') IS NULL THEN 'INCOMPLETE' WHEN epoch(TIMESTAMP '2026-06-01') - epoch(s.seen) > 30 * 86400 THEN 'STALE' ELSE 'FRESH' END AS decision FROM product_details p LEFT JOIN (SELECT asin, max(captured_at) AS seen FROM saved_cases GROUP BY asin) s ON s.asin = p.asin")
+@query("WITH s AS (SELECT asin, max(captured_at) AS seen, arg_max(field, captured_at) AS field, bool_or(coalesce(title_es_raw, '') <> '') AS titled FROM (SELECT DISTINCT asin, captured_at, min(field) OVER (PARTITION BY asin, captured_at) AS field, title_es_raw FROM saved_cases WHERE asin IS NOT NULL) GROUP BY 1) SELECT DISTINCT p.listing_id, CASE WHEN s.seen IS NULL THEN 'NEW' WHEN NOT s.titled THEN 'UNRELIABLE' WHEN s.field <> 'title_es_raw' AND s.field <> 'specification_es' THEN 'OLD_SCHEMA' WHEN nullif(trim(p.brand), '') IS NULL OR nullif(trim(p.price_eur), '') IS NULL THEN 'MISSING_FIELDS' WHEN epoch(TIMESTAMP '2026-06-01') - epoch(s.seen) > 30 * 86400 THEN 'STALE' ELSE 'FRESH' END AS decision FROM product_details p LEFT JOIN s ON s.asin = p.asin")
 def flt14_refresh_decision(t):
-    seen = t("saved_cases").groupBy("asin").agg(F.max("captured_at").alias("seen"))
+    titled = F.bool_or(tx.present(c("title_es_raw")).isNotNull())
+    seen = t("saved_cases").filter("asin is not null").groupBy("asin").agg(F.max("captured_at").alias("seen"), titled.alias("titled"), F.min(F.struct((-F.unix_micros(c("captured_at").cast("timestamp"))).alias("o"), "field"))["field"].alias("schema"))
+    missing = tx.present(c("brand")).isNull() | tx.present(c("price_eur")).isNull()
     old = F.timestamp_diff("SECOND", c("seen"), F.lit("2026-06-01").cast("timestamp_ntz")) > 30 * 86400
-    return t("product_details").join(seen, "asin", "left").select("listing_id", F.when(c("seen").isNull(), "NEW").when(tx.present(c("title")).isNull(), "INCOMPLETE").when(old, "STALE").otherwise("FRESH").alias("decision"))
+    decision = rows.refresh_decision(c("seen"), ~c("titled"), ~c("schema").isin("title_es_raw", "specification_es"), missing, old)
+    return t("product_details").join(seen, "asin", "left").select("listing_id", decision.alias("decision")).distinct()
 
 
 # ---- joins ------------------------------------------------------------------------------------------------------
@@ -258,11 +264,10 @@ def jn9_group_by_url(t):
     return t("identity_candidates").join(groups, page == c("page"), "left").select("snapshot_id", "source_url", F.coalesce(F.nullif("card_asin", F.lit("")), "g").alias("grp"))
 
 
-@query("SELECT x.placement_id, coalesce(p.category_name, x.category_name) AS evidence FROM (SELECT placement_id, max(parent_placement_id) AS parent, min(category_name) AS category_name FROM category_placements GROUP BY 1) x LEFT JOIN (SELECT placement_id, min(category_name) AS category_name FROM category_placements GROUP BY 1) p ON p.placement_id = x.parent")
+@query("WITH x AS (SELECT placement_id, max(nullif(parent_placement_id, '')) AS parent, min(category_name) FILTER (WHERE status = 'DONE') AS name FROM category_placements GROUP BY 1), f AS (SELECT parent, min(placement_id) AS member FROM x WHERE name IS NOT NULL AND parent IS NOT NULL GROUP BY 1) SELECT x.placement_id, coalesce(x.name, p.name, m.name) AS evidence, CASE WHEN x.name IS NOT NULL THEN 'OWN' WHEN p.name IS NOT NULL THEN 'PARENT' WHEN m.name IS NOT NULL THEN 'FAMILY' ELSE 'NONE' END AS taken_from FROM x LEFT JOIN x p ON p.placement_id = x.parent LEFT JOIN f ON f.parent = x.parent LEFT JOIN x m ON m.placement_id = f.member")
 def jn10_parent_evidence(t):
-    own = t("category_placements").groupBy("placement_id").agg(F.max("parent_placement_id").alias("parent"), F.min("category_name").alias("name"))
-    parent = own.select(c("placement_id").alias("p"), c("name").alias("parent_name"))
-    return own.join(parent, c("parent") == c("p"), "left").select("placement_id", F.coalesce("parent_name", "name").alias("evidence"))
+    own = t("category_placements").groupBy("placement_id").agg(F.max(F.nullif("parent_placement_id", F.lit(""))).alias("parent"), F.min(F.when(c("status") == "DONE", c("category_name"))).alias("evidence"))
+    return joins.closest_evidence(own, "placement_id", "parent", "evidence")
 
 
 @query("SELECT listing_id FROM product_details WHERE asin IN (SELECT asin FROM product_attributes WHERE asin IS NOT NULL)")
@@ -358,11 +363,12 @@ def jn25_contexts(t):
     return t("product_details").select("asin").distinct().join(k, "asin", "left").fillna(0, ["contexts"])
 
 
-@query("WITH base AS (SELECT DISTINCT upper(trim(asin)) AS asin, source_url, rank FROM identity_candidates WHERE rank <= 30), extra AS (SELECT DISTINCT upper(trim(asin)) AS asin, source_url, rank FROM identity_candidates WHERE rank BETWEEN 31 AND 50) SELECT count(*) AS added, count(*) FILTER (WHERE asin IN (SELECT asin FROM base)) AS merged FROM extra")
+@query("WITH base AS (SELECT DISTINCT upper(trim(asin)) AS asin, source_url, rank FROM identity_candidates WHERE rank <= 40), extra AS (SELECT DISTINCT upper(trim(asin)) AS asin, source_url, rank FROM identity_candidates WHERE rank BETWEEN 31 AND 50), n AS (SELECT e.*, e.asin IN (SELECT asin FROM base) AS known FROM extra e WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.asin = e.asin AND b.source_url = e.source_url AND b.rank = e.rank)) SELECT asin, count(*) AS contexts, array_to_string(list_sort(list(DISTINCT rank))[1:5], ';') AS first_ranks, any_value(known) AS merged FROM n GROUP BY 1")
 def jn26_supplement(t):
     k = t("identity_candidates").select(F.upper(F.trim("asin")).alias("asin"), "source_url", "rank").distinct()
-    base = k.filter("rank <= 30").select("asin").distinct().withColumn("known", F.lit(True))
-    return k.filter("rank between 31 and 50").join(base, "asin", "left").agg(F.count(F.lit(1)).alias("added"), F.count_if(c("known")).alias("merged"))
+    new = joins.supplement(k.filter("rank <= 40"), k.filter("rank between 31 and 50"), "asin", ["source_url", "rank"])
+    nth = F.dense_rank().over(Window.partitionBy("asin").orderBy("rank"))
+    return new.withColumn("r", nth).groupBy("asin").agg(F.count(F.lit(1)).alias("contexts"), F.array_join(F.array_sort(F.collect_set(F.when(c("r") <= 5, c("rank")))), ";").alias("first_ranks"), F.first("merged").alias("merged"))
 
 
 def _snapshot_cells(n: int) -> str:
@@ -440,11 +446,11 @@ def so4_top_per_group(t):
     return rows.first_by(t("product_details").groupBy("seller", "brand").agg(F.count(F.lit(1)).alias("n")), ["seller"], [F.desc("n"), F.coalesce("brand", F.lit(""))], 3)
 
 
-@query(f"SELECT l_returnflag, l_linestatus, count(*) AS n, count(DISTINCT l_partkey) AS parts FROM (SELECT * FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY {LINE_SQL}) = 1) QUALIFY row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY {LINE_SQL}) <= 50) GROUP BY 1, 2")
+@query(f"SELECT l_returnflag, l_linestatus, count(*) AS n, count(DISTINCT l_partkey) AS parts, greatest(150 - count(*), 0) AS short FROM (SELECT * FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY {LINE_SQL}) = 1) QUALIFY row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY {LINE_SQL}) <= 150) GROUP BY 1, 2")
 def so5_unique_quota(t):
     order = [c(x) for x in LINE_ORDER]
     first = rows.first_by(t("lineitem"), ["l_partkey"], order)
-    return rows.first_by(first, ["l_returnflag", "l_linestatus"], order, 50).groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_partkey").alias("parts"))
+    return rows.first_by(first, ["l_returnflag", "l_linestatus"], order, 150).groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_partkey").alias("parts"), F.greatest(150 - F.count(F.lit(1)), F.lit(0)).alias("short"))
 
 
 @query(None)
@@ -466,13 +472,22 @@ def so8_allocation(t):
     return allocate(options, 15, {"A": 300, "N": 400, "R": 300})
 
 
-@query("WITH p AS (SELECT o_orderkey, o_totalprice, sum(o_totalprice) OVER (ORDER BY o_totalprice, o_orderkey ROWS UNBOUNDED PRECEDING) AS used FROM orders) SELECT count(*) FILTER (WHERE used <= 1e6) AS tier1, count(*) FILTER (WHERE used > 1e6 AND used <= 5e6) AS tier2, count(*) FILTER (WHERE used > 5e6) AS rest FROM p")
+_SO9_SQL = """WITH RECURSIVE s AS (SELECT 's' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS source_id, 'K' || s_nationkey % 3 AS source_type, 'C' || s_nationkey % 2 AS category, CAST(1 + s_suppkey % 5 AS BIGINT) AS pages, CAST(10 + s_suppkey % 7 AS BIGINT) AS cap, CAST(1 + s_suppkey % 3 AS BIGINT) AS cost FROM supplier),
+o AS (SELECT *, row_number() OVER (ORDER BY tier, source_id) AS k FROM (SELECT *, CASE WHEN source_type = 'K1' AND category = 'C0' THEN 1 WHEN source_type = 'K1' THEN 2 ELSE 3 END AS tier FROM s)),
+w AS (SELECT CAST(0 AS BIGINT) AS k, '' AS source_id, '' AS source_type, 0 AS tier, CAST(0 AS BIGINT) AS cap, CAST(0 AS BIGINT) AS cost, CAST(0 AS BIGINT) AS quantity, CAST(1500 AS BIGINT) AS gap, CAST(90 AS BIGINT) AS pages, CAST(160 AS BIGINT) AS requests, CAST(600 AS BIGINT) AS b0, CAST(500 AS BIGINT) AS b1, CAST(550 AS BIGINT) AS b2
+UNION ALL SELECT o.k, o.source_id, o.source_type, o.tier, o.cap, o.cost, q.v, w.gap - q.v, w.pages - CAST(ceil(q.v / o.cap) AS BIGINT), w.requests - CAST(ceil(q.v / o.cap) AS BIGINT) * o.cost, w.b0 - CASE WHEN o.source_type = 'K0' THEN q.v ELSE 0 END, w.b1 - CASE WHEN o.source_type = 'K1' THEN q.v ELSE 0 END, w.b2 - CASE WHEN o.source_type = 'K2' THEN q.v ELSE 0 END
+FROM w JOIN o ON o.k = w.k + 1, LATERAL (SELECT least(w.gap, CASE o.source_type WHEN 'K0' THEN w.b0 WHEN 'K1' THEN w.b1 ELSE w.b2 END, least(o.pages, w.pages, w.requests // o.cost) * o.cap) AS v) q)
+SELECT source_id, source_type, tier, CAST(ceil(quantity / cap) AS BIGINT) AS page_count, CAST(ceil(quantity / cap) AS BIGINT) * cost AS requests, quantity FROM w WHERE quantity > 0"""
+
+
+@query(_SO9_SQL)
 def so9_shrinking_budgets(t):
-    # Prefix sums over a total order: summed per range first, so that no task holds all rows.
-    from rastro.operators.flow import running_total
+    from rastro.operators.flow import tiered_plan
 
-    p = running_total(t("orders"), ["o_totalprice", "o_orderkey"], "o_totalprice", "used")
-    return p.agg(F.count_if(c("used") <= 1e6).alias("tier1"), F.count_if((c("used") > 1e6) & (c("used") <= 5e6)).alias("tier2"), F.count_if(c("used") > 5e6).alias("rest"))
+    key, nation = c("s_suppkey"), c("s_nationkey")
+    s = t("supplier").select(F.concat(F.lit("s"), F.lpad(key.cast("string"), 9, "0")).alias("source_id"), F.concat(F.lit("K"), (nation % 3).cast("string")).alias("source_type"), F.concat(F.lit("C"), (nation % 2).cast("string")).alias("research_category"),
+        (1 + key % 5).cast("bigint").alias("pages"), (10 + key % 7).cast("bigint").alias("page_capacity"), (1 + key % 3).cast("bigint").alias("request_cost"))
+    return tiered_plan(s, "K1", "C0", 1500, 90, 160, {"K0": 600, "K1": 500, "K2": 550}, cross=True)
 
 
 @query("SELECT l_suppkey, array_to_string(list_slice(list_sort(list_distinct(list(l_partkey))), 1, 5), ',') AS sample FROM lineitem GROUP BY 1")
@@ -481,10 +496,11 @@ def so10_sample_lists(t):
     return few.groupBy("l_suppkey").agg(F.array_join(F.array_sort(F.collect_list("l_partkey")), ",").alias("sample"))
 
 
-@query("SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS turn, list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) AS group_rank FROM events")
+@query("SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY value <= 10, ts, event_id) AS turn, list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) AS group_rank FROM events")
 def so11_interleave(t):
     kinds = F.array(*map(F.lit, ["click", "error", "purchase", "signup", "view"]))
-    return rows.interleave(t("events"), "event_type", [c("ts"), c("event_id")], F.array_position(kinds, c("event_type"))).select("event_id", c("turn").cast("bigint").alias("turn"), c("group_rank").cast("int").alias("group_rank"))
+    saved_first = c("value") <= 10  # rows whose page is there already come before the others
+    return rows.interleave(t("events"), "event_type", [saved_first, c("ts"), c("event_id")], F.array_position(kinds, c("event_type"))).select("event_id", c("turn").cast("bigint").alias("turn"), c("group_rank").cast("int").alias("group_rank"))
 
 
 @query("WITH p AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) - 1 AS p, count(*) OVER (PARTITION BY event_type) AS n FROM events), q AS (SELECT event_id, event_type, CASE WHEN p % 2 = 0 THEN p // 2 ELSE ceil(n / 2) + (n - 1 - p) // 2 END AS turn FROM p) SELECT event_id, event_type, CAST(turn AS BIGINT) AS turn FROM q ORDER BY turn, event_type LIMIT 100")
