@@ -143,24 +143,66 @@ def _movement(card: Node) -> tuple[str | None, str | None, float | None]:
     return before, now, _percent(change)
 
 
+# Where list pages keep a card, its rank and its price, by class.
+_CARD_CLASSES = ("zg-item-immersion", "zg-grid-general-faceout", "p13n-sc-uncoverable-faceout")
+_RANK_CLASSES = ("zg-bdg-text", "zg-badge-text", "rank")
+_LINE_CLAMP, _LIST_PRICE = re.compile(r"line-clamp"), re.compile(r"p13n-sc-price")
+_HREF_ITEM = re.compile(r"/(?:dp|gp/product|product)/([A-Z0-9]{10})(?:[/?#]|$)", re.I)
+
+
+def _outermost(root: Node, wanted) -> list[Node]:
+    """Nodes that are wanted and lie in no wanted one, in the order of the page."""
+    out: list[Node] = []
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if wanted(node):
+            out.append(node)
+        else:
+            stack.extend(reversed([n for n in node.children if isinstance(n, Node)]))
+    return out
+
+
+def _cards_of(page: Node) -> list[Node]:
+    """One layer of cards: grid items if there are any, else the outermost of the known layouts, else nodes with an item's id."""
+    for wanted in (lambda n: n.attrs.get("id") == "gridItemRoot", lambda n: any(x in _CARD_CLASSES for x in n.attrs.get("class", "").split()), lambda n: "data-asin" in n.attrs):
+        if found := _outermost(page, wanted):
+            return found
+    return []
+
+
 def list_cards(html: str | None, source_type: str = "BEST_SELLERS") -> list[tuple]:
-    """``item, rank, href, title, price, rating, previous_rank, monthly, current_rank, change_percent`` of a list page's
-    cards, adverts and hidden ones left out; previous and current rank and change only of ``MOVERS_SHAKERS``."""
+    """``item, rank, href, title, price, rating, previous_rank, monthly, current_rank, change_percent, link_status`` of a
+    list page's cards, adverts and hidden ones left out; previous and current rank and change only of ``MOVERS_SHAKERS``.
+
+    ``item`` is the card's own id, else the one its link names; ``link_status`` tells whether the two agree.
+    """
     out = []
     bought = html is not None and "comprados" in html.lower()
-    for card in parse(html).all(attr="data-asin"):
-        if "ad" in card.attrs.get("class", "").split() or "hidden" in card.attrs:
+    for card in _cards_of(parse(html)):
+        if "ad" in card.attrs.get("class", "").split() or card.hidden():
             continue
-        link, rank = card.first(tag="a"), card.first(cls="rank")
-
-        def text(cls: str, card: Node = card) -> str | None:
-            node = card.first(cls=cls)
-            return node.text() or None if node else None
-
-        digits = "".join(ch for ch in rank.text() if ch.isdigit()) if rank else ""
+        nodes = list(card.walk())
+        links = [n for n in nodes if n.tag == "a" and "href" in n.attrs]
+        link = next((n for n in links if _HREF_ITEM.search(n.attrs["href"])), links[0] if links else None)
+        href = link.attrs["href"] if link else None
+
+        def text(*classes: str, pattern: re.Pattern | None = None, nodes: list[Node] = nodes) -> str | None:
+            for n in nodes:
+                names = n.attrs.get("class", "").split()
+                if (any(c in names for c in classes) or (pattern and any(pattern.search(c) for c in names))) and (t := n.text()):
+                    return t
+            return None
+
+        rank = text(*_RANK_CLASSES)
+        digits = "".join(ch for ch in rank or "" if ch.isdigit())
+        own = next((v.upper() for n in nodes if (v := n.attrs.get("data-asin", "").strip())), None)
+        named = m[1].upper() if href and (m := _HREF_ITEM.search(href)) else None
+        status = "NO_PRODUCT_URL" if not href else "NO_ASIN_IN_URL" if not named else "MATCH" if own in (None, named) else "MISMATCH"
+        image = next((n.attrs["alt"].strip() for n in nodes if n.tag == "img" and n.attrs.get("alt", "").strip()), None)
         before, now, change = _movement(card) if source_type == "MOVERS_SHAKERS" else (None, None, None)
         monthly = _MONTHLY.search(card.shown()) if bought else None
-        out.append((card.attrs["data-asin"].strip().upper() or None, int(digits) if digits else None, link.attrs.get("href") if link else None, text("title"), text("price"), text("rating"), before, " ".join(monthly[1].split()) if monthly else None, now, change))
+        out.append((own or named, int(digits) if digits else None, href, text("title", pattern=_LINE_CLAMP) or image, text("price", pattern=_LIST_PRICE) or text("a-offscreen"), text("rating", "a-icon-alt"), before, " ".join(monthly[1].split()) if monthly else None, now, change, status))
     return out
 
 
@@ -213,10 +255,50 @@ def _variation(nodes: list[Node], ids: dict[str, list[Node]]) -> str | None:
     return " / ".join(_once(values)) or None
 
 
+# Containers of the price of the page's own product, what a page that asks for a code says, and shop prefixes.
+_PRICE_PLACES = ("corePrice_feature_div", "corePriceDisplay_desktop_feature_div")
+_CAPTCHA = re.compile(r"introduce los caracteres|escribe los caracteres|enter the characters you see|robot check", re.I)
+_BYLINE = re.compile(r"^(?:visita la tienda de|marca:)\s*", re.I)
+_PER_UNIT = re.compile(r"/\s*(?:kg|g|l|ml)\b", re.I)
+
+
+def _own_price(page: Node, ids: dict[str, list[Node]]) -> str | None:
+    """The price to pay: the first in a price container, or marked as such, that is neither struck out nor one per unit."""
+
+    def skipped(n: Node) -> bool:
+        names = n.attrs.get("class", "").lower()
+        return "a-text-price" in names.split() or n.attrs.get("data-a-strike", "").lower() == "true" or "priceperunit" in names or "basisprice" in names or n.hidden()
+
+    def search(node: Node, inside: bool) -> str | None:
+        names = node.attrs.get("class", "").split()
+        if skipped(node):
+            return None
+        if (inside and "a-price" in names) or "priceToPay" in names or "apex-pricetopay-value" in names:
+            exact = node.first(cls="a-offscreen")
+            value = (exact.text() if exact else "") or node.shown()
+            return value if any(ch.isdigit() for ch in value) and not _PER_UNIT.search(value) else None
+        inside = inside or node.attrs.get("id") in _PRICE_PLACES
+        return next((v for child in node.children if isinstance(child, Node) and (v := search(child, inside))), None)
+
+    return search(page, False)
+
+
+def _seller(ids: dict[str, list[Node]], boxes: list[Node]) -> str | None:
+    """The seller: the linked profile, else what the shop's box says after "Vendido por"."""
+    for n in ids.get("sellerProfileTriggerId", ()):
+        if (t := n.shown()) and not n.hidden():
+            return t
+    for n in [*ids.get("merchantInfoFeature_feature_div", ()), *ids.get("merchant-info", ()), *boxes]:
+        if m := re.search(r"Vendido(?: y enviado)? por\s+(.{1,80}?)(?:\s+(?:y enviado|y gestionado|Enviado)|[.|]|$)", n.shown(), re.I):
+            return m[1].strip()
+    return None
+
+
 def detail_fields(html: str | None) -> tuple:
     """``title, brand, price, struck_price, rating, seller, review_count, availability, rank_text, variation, parent_item,
-    first_available, image, category_trail, bullets, description, detail_bullets, monthly, manufacturer`` of a product page;
-    what the page doesn't state is null, or empty if it is a list."""
+    first_available, image, category_trail, bullets, description, detail_bullets, monthly, manufacturer, sold_by_shop,
+    sent_by_shop, rank_category, rank_node, extra_content, asks_for_code`` of a product page; what the page doesn't state
+    is null, false, or empty if it is a list."""
     page = parse(html)
     nodes, ids, classes = list(page.walk()), {}, {}
     for n in nodes:
@@ -248,11 +330,22 @@ def detail_fields(html: str | None) -> tuple:
     trail = next((x for x in trails if x), [])
     bought = next((m for n in [*at("social-proofing-faceout", "socialProofingAsinFaceout_feature_div"), *classes.get("social-proofing-faceout", ())] if (m := _MONTHLY.search(n.shown()))), None)
     maker = next((v for _, k, v, _ in _attributes(page) if k.strip(" :\u200e\u200f").lower() in ("fabricante", "manufacturer") and v), None)
+    attributes = _attributes(page)
+    byline = next((_BYLINE.sub("", t) for n in ids.get("bylineInfo", ()) if not n.hidden() and (t := n.shown())), None)
+    brand = text("brand") or byline or next((v for _, k, v, _ in attributes if k.strip(" :\u200e\u200f").lower() in ("marca", "brand") and v), None)
+    stars = next((t for p in ("acrPopover", "averageCustomerReviews_feature_div") for n in ids.get(p, ()) if (i := n.first(cls="a-icon-alt")) and (t := i.text())), None)
+    boxes = at("buybox")
+    box = boxes[0].shown() if boxes else ""
+    seller = text("seller") or _seller(ids, boxes)
+    rank_category = place[2].strip() if place else None
+    rank_nodes = {m[1] or m[2] for p in ("detailBulletsWrapper_feature_div", "prodDetails", "SalesRank") for n in ids.get(p, ()) for a in n.all(tag="a") if rank_category and re.sub(r"^ver el top\s*\d+\s+en\s+", "", a.shown(), flags=re.I).casefold() == rank_category.casefold() and (m := _NODE.search(a.attrs.get("href", "")))}
     return (
-        text("title") or shown("productTitle"), text("brand"), text("price"), struck, text("rating"), text("seller"), shown("acrCustomerReviewText"), shown("availability", "outOfStock"),
+        text("title") or shown("productTitle"), brand, text("price") or _own_price(page, ids), struck, text("rating") or stars, seller, shown("acrCustomerReviewText"), shown("availability", "outOfStock"),
         f"n.º {place[1]} en {place[2].strip()}" if place else None, _variation(nodes, ids), next((p.upper() for p in parents if _ITEM.fullmatch(p)), None), f"{dated[1]} {dated[2].lower()} {dated[3]}" if dated else None, image,
         _once(trail), listed("feature-bullets", "featurebullets_feature_div", "pqv-feature-bullets"), shown("productDescription", "productDescription_feature_div"),
         listed("detailBulletsWrapper_feature_div"), " ".join(bought[1].split()) if bought else None, maker,
+        seller == "Amazon" or bool(re.search(r"Vendido(?: y enviado)? por Amazon", box)), bool(re.search(r"Enviado por Amazon|Vendido y enviado por Amazon", box)), rank_category, rank_nodes.pop() if len(rank_nodes) == 1 else None,
+        shown("aplus", "aplus_feature_div"), bool(_CAPTCHA.search(page.shown())),
     )
 
 
@@ -262,6 +355,7 @@ def attribute_rows(html: str | None) -> list[tuple]:
 
 
 def _attributes(page: Node) -> list[tuple]:
+    """Two-column tables, then the lines of the detail bullets with a colon, each counted on its own."""
     out = []
     for table in page.all(tag="table"):
         place = 0
@@ -270,7 +364,10 @@ def _attributes(page: Node) -> list[tuple]:
             if len(cells) == 2:
                 out.append((table.attrs.get("id", ""), cells[0], cells[1], place))
                 place += 1
-    return out
+    box = page.first(id="detailBulletsWrapper_feature_div")
+    lines = [_MARKS.sub("", li.shown()) for li in box.all(tag="li")] if box else []
+    stated = [(k.strip(), v.strip()) for k, colon, v in (t.partition(":") for t in lines) if colon and k.strip() and v.strip()]
+    return out + [("detail_bullets", k, v, i) for i, (k, v) in enumerate(stated)]
 
 
 def navigation(html: str | None) -> list[tuple]:
@@ -289,11 +386,12 @@ def navigation(html: str | None) -> list[tuple]:
     return out
 
 
-_DETAILS = ["title", "brand", "price", "struck_price", "rating", "seller", "review_count", "availability", "rank_text", "variation", "parent_item", "first_available", "image", "category_trail", "bullets", "description", "detail_bullets", "monthly", "manufacturer"]
+_DETAILS = ["title", "brand", "price", "struck_price", "rating", "seller", "review_count", "availability", "rank_text", "variation", "parent_item", "first_available", "image", "category_trail", "bullets", "description", "detail_bullets", "monthly", "manufacturer", "sold_by_shop", "sent_by_shop", "rank_category", "rank_node", "extra_content", "asks_for_code"]
+_KIND_OF = dict.fromkeys(("category_trail", "bullets", "detail_bullets"), "array<string>") | dict.fromkeys(("sold_by_shop", "sent_by_shop", "asks_for_code"), "boolean")
 _SHAPES = {
-    "cards": (list_cards, ["item", "rank", "href", "title", "price", "rating", "previous_rank", "monthly", "current_rank", "change_percent"], "item string, rank bigint, href string, title string, price string, rating string, previous_rank string, monthly string, current_rank string, change_percent double"),
+    "cards": (list_cards, ["item", "rank", "href", "title", "price", "rating", "previous_rank", "monthly", "current_rank", "change_percent", "link_status"], "item string, rank bigint, href string, title string, price string, rating string, previous_rank string, monthly string, current_rank string, change_percent double, link_status string"),
     "context": (lambda h: [list_context(h)], ["category_trail", "node"], "category_trail array<string>, node string"),
-    "details": (lambda h: [detail_fields(h)], _DETAILS, ", ".join(f"{n} {'array<string>' if n in ('category_trail', 'bullets', 'detail_bullets') else 'string'}" for n in _DETAILS)),
+    "details": (lambda h: [detail_fields(h)], _DETAILS, ", ".join(f"{n} {_KIND_OF.get(n, 'string')}" for n in _DETAILS)),
     "attributes": (attribute_rows, ["section", "label", "value", "position"], "section string, label string, value string, position int"),
     "navigation": (navigation, ["depth", "name", "href"], "depth int, name string, href string"),
 }
