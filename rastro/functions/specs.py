@@ -53,12 +53,39 @@ def suspicious_dimension(c: Column) -> Column:
     return F.coalesce(c.rlike(r"^\s*1\s*[xX×]\s*1(\s*[xX×]\s*1)?\s*([a-z]|$)"), F.lit(False))
 
 
-def count_in(c: Column) -> Column:
-    """A number of pieces, with or without its noun; values with other units give none."""
-    return F.nullif(F.regexp_extract(c, r"^(?:Juego de )?([0-9]{1,4})(?: (?:piezas|uds\.?|unidades))?$", 1), F.lit("")).try_cast("int")
+# Nouns of a count before it and after it.
+COUNT_BEFORE = r"(?i)(\d{1,4})\s*(?:packs?|piezas?|unidad(?:es)?|uds?\b|pcs?|art[ií]culos?)"
+COUNT_AFTER = r"(?i)\b(?:pack|paquete|juego|set)\s+(?:de\s+)?(\d{1,4})"
 
 
-def title_count(c: Column) -> Column:
-    """The number of pieces a title states, by its set first, else by its pieces; 1 is no evidence."""
-    found = [F.nullif(F.regexp_extract(F.lower(c), p, 1), F.lit("")).try_cast("int") for p in (r"(?:pack de|set|juego de) ([0-9]+)", r"([0-9]+) (?:piezas|uds|unidades|pcs)")]
-    return F.coalesce(*[F.when(n > 1, n) for n in found])
+def _number(c: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")).try_cast("int")
+
+
+def count_value(c: Column) -> Column:
+    """The number a count field starts with; values with a unit of size or weight count nothing."""
+    value = F.replace(F.regexp_extract(F.regexp_replace(c, r"\s", ""), r"^(\d+(?:[.,]\d+)?)", 1), F.lit(","), F.lit("."))
+    return F.when(unit_class(F.trim(c)).isNull(), F.nullif(value, F.lit("")).try_cast("double"))
+
+
+def text_count(c: Column) -> Column:
+    """The count a text states before a noun ("6 piezas"), else after one ("pack de 6")."""
+    return F.coalesce(_number(c, COUNT_BEFORE), _number(c, COUNT_AFTER))
+
+
+def variant_count(c: Column) -> Column:
+    """Pieces in all of a chosen variant, "N unidades (Paquete de M)": N times M, where either may be missing; null without both."""
+    pack = _number(c, COUNT_AFTER)
+    unit = _number(F.regexp_replace(c, COUNT_AFTER + ".*$", ""), COUNT_BEFORE)
+    return F.when(unit.isNotNull() | pack.isNotNull(), F.coalesce(unit, F.lit(1)) * F.coalesce(pack, F.lit(1)))
+
+
+def resolved_count(variant: Column, title: Column, size: Column, sets: Column, most: Column) -> Column:
+    """The pieces of a product: its variant's, else the title's, the size's, the number of sets, the largest count field.
+
+    1 is no evidence, but a variant that says 1 overrules what the others say: the result is null. ``most`` counts only
+    if it is whole.
+    """
+    chosen = variant_count(variant)
+    stated = [F.when(n > 1, n) for n in (text_count(title), text_count(size), F.floor(count_value(sets)).cast("int"), F.when(most == F.floor(most), most.cast("int")))]
+    return F.when(chosen.isNotNull(), F.when(chosen > 1, chosen)).otherwise(F.coalesce(*stated))

@@ -11,6 +11,7 @@ from rastro.functions import text as tx
 from rastro.operators import measures as ms
 from rastro.operators import rows
 from rastro.operators import timeline as tl
+from rastro.plans.scalars import madrid_sql
 from rastro.session import read
 
 c = F.col
@@ -218,7 +219,7 @@ def ag30_capacity(t):
     return t("events").groupBy("event_type").agg(F.avg("value").alias("mean_s"), n_rows().alias("n"), F.count_if(c("value") > 10).alias("overlong"))
 
 
-@query("SELECT CAST(ts + INTERVAL 1 HOUR AS DATE) AS local_day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+@query(f"SELECT CAST({madrid_sql('ts')} AS DATE) AS local_day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def ag31_daily_counts(t):
     from rastro.functions.dates import local_date
 

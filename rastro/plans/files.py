@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rastro.functions.dates import MADRID
 from rastro.operators import joins
 from rastro.operators.quality import chain_breaks
+from rastro.plans.scalars import madrid_sql
 from rastro.session import cut, passing_folder, read
 from rastro.sources import html, readers, writers
 from rastro.streaming import catalogue as st
@@ -336,6 +337,16 @@ def ht6_rating_status(t):
     return r.select("listing_id", F.when(c("rating").isNull(), "ABSENT").when(c("rating").rlike(r"^\s*[0-9]+([.,][0-9]+)?"), "VALID").otherwise("INVALID").alias("status"))
 
 
+@query("SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 1 AS place FROM events UNION ALL SELECT event_id, event_id, NULL, 2 FROM events")
+def js4_client_list(t):
+    """The records a list page keeps for its scripts in one attribute, as rows."""
+    first = F.concat(F.lit('{"id":'), c("user_id").cast("string"), F.lit(',"k":"'), F.get_json_object("props", "$.k"), F.lit('"}'))
+    listed = F.concat(F.lit("["), first, F.lit(',{"id":'), c("event_id").cast("string"), F.lit("}]"))
+    page = F.concat(F.lit('<div class="p13n-desktop-grid" data-client-recs-list="'), F.replace(listed, F.lit('"'), F.lit("&quot;")), F.lit('"><div data-asin="B0AAAAAAA1"></div></div>'))
+    found = html.extract(t("events").select("event_id", page.alias("html")), "event_id", "html", "records")
+    return found.select("event_id", F.get_json_object("record", "$.id").cast("bigint").alias("user_id"), F.get_json_object("record", "$.k").cast("bigint").alias("k"), "place")
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def ht7_embedded_json(t):
     page = F.concat(F.lit("<html><script data-client-list='["), c("props"), F.lit("]'></script></html>"))
@@ -503,7 +514,7 @@ def sta15_latest_state(t):
     return best.select("asin", "b.captured_at")
 
 
-@query("SELECT CAST(ts + INTERVAL 1 HOUR AS DATE) AS local_day, count(*) AS n FROM events GROUP BY 1")
+@query(f"SELECT CAST({madrid_sql('ts')} AS DATE) AS local_day, count(*) AS n FROM events GROUP BY 1")
 def sta16_local_days(t):
     timed = stream(t).withColumn("ts", c("ts").cast("timestamp"))
     return st.run_to_end(st.local_day_counts(timed, "ts", MADRID), "complete")

@@ -114,6 +114,37 @@ def dq11_record_states(t):
     return ql.record_states(p, found, "asin")
 
 
+_COUNT_LABEL = r"regexp_matches(lower(label_raw), '(piezas|unidades|pieces|cantidad)')"
+_COUNT_VALUE = f"CASE WHEN ({sp.unit_class_sql('trim(value_raw)')}) IS NULL THEN TRY_CAST(nullif(replace(regexp_extract(regexp_replace(value_raw, '\\s', '', 'g'), '^([0-9]+(?:[.,][0-9]+)?)', 1), ',', '.'), '') AS DOUBLE) END"
+
+
+@query(f"SELECT asin, max({_COUNT_VALUE}) AS pieces FROM product_attributes WHERE asin IS NOT NULL AND {_COUNT_LABEL} GROUP BY 1")
+def sp4_package_count(t):
+    a = t("product_attributes").filter(c("asin").isNotNull() & F.lower("label_raw").rlike("(piezas|unidades|pieces|cantidad)"))
+    return a.groupBy("asin").agg(F.max(sp.count_value(c("value_raw"))).alias("pieces"))
+
+
+
+
+def _count_sql(x: str, pattern: str) -> str:
+    return f"TRY_CAST(nullif(regexp_extract({x}, '{pattern}', 1), '') AS INT)"
+
+
+_UNITS = _count_sql(f"regexp_replace(variant, '{sp.COUNT_AFTER}.*$', '')", sp.COUNT_BEFORE)
+
+
+@query(f"""WITH m AS (SELECT asin, max({_COUNT_VALUE}) AS most FROM product_attributes WHERE asin IS NOT NULL AND {_COUNT_LABEL} GROUP BY 1),
+d AS (SELECT DISTINCT p.listing_id, p.title, CASE WHEN p.listing_id % 4 = 0 THEN (p.listing_id % 3 + 1) || ' unidades (Paquete de ' || (p.listing_id % 5 + 1) || ')' END AS variant, m.most FROM product_details p LEFT JOIN m USING (asin)),
+n AS (SELECT listing_id, {_UNITS} AS u, {_count_sql('variant', sp.COUNT_AFTER)} AS k, coalesce({_count_sql('title', sp.COUNT_BEFORE)}, {_count_sql('title', sp.COUNT_AFTER)}) AS t, most FROM d)
+SELECT listing_id, CASE WHEN u IS NOT NULL OR k IS NOT NULL THEN CASE WHEN coalesce(u, 1) * coalesce(k, 1) > 1 THEN coalesce(u, 1) * coalesce(k, 1) END WHEN t > 1 THEN t WHEN most > 1 AND most = floor(most) THEN CAST(most AS INT) END AS pieces FROM n""")
+def sp5_count_precedence(t):
+    key = c("listing_id")
+    variant = F.when(key % 4 == 0, F.concat((key % 3 + 1).cast("string"), F.lit(" unidades (Paquete de "), (key % 5 + 1).cast("string"), F.lit(")")))
+    d = t("product_details").join(sp4_package_count(t), "asin", "left").select("listing_id", "title", variant.alias("variant"), c("pieces").alias("most")).distinct()
+    nothing = F.lit(None).cast("string")
+    return d.select("listing_id", sp.resolved_count(c("variant"), c("title"), nothing, nothing, c("most")).alias("pieces"))
+
+
 @query(" UNION ALL ".join(f"SELECT listing_id, '{n}' AS field, CASE WHEN coalesce(trim({s}), '') = '' THEN 'SOURCE_MISSING' WHEN ({p}) IS NULL THEN 'PARSER_MISSED' ELSE 'PASS' END AS class FROM product_details" for n, s, p in (("price", "price_eur", _price_sql("price_eur")), ("rating", "rating", f"CASE WHEN {_RATING} BETWEEN 0 AND 5 THEN 1 END"))))
 def dq12_field_closure(t):
     price, rating = nu.price(c("price_eur")), nu.rating(c("rating"))

@@ -49,6 +49,14 @@ _REASON = (
     f"WHEN NOT regexp_matches({_path_sql('f')}, '{_PROD}') THEN 'NOT_PRODUCT_CARD_LINK' END"
 )
 
+
+
+def madrid_sql(t: str) -> str:
+    """Local time in Madrid of a UTC time: one hour ahead, two from the last Sunday of March to that of October, 01:00 UTC."""
+    sunday = lambda month: f"(make_date(CAST(year({t}) AS BIGINT), {month}, 31) - CAST(dayofweek(make_date(CAST(year({t}) AS BIGINT), {month}, 31)) AS INT) + INTERVAL 1 HOUR)"
+    return f"({t} + CASE WHEN {t} >= {sunday(3)} AND {t} < {sunday(10)} THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END)"
+
+
 D, A, I, S, X, E, L, O = "product_details", "product_attributes", "identity_candidates", "saved_cases", "documents", "events", "lineitem", "orders"  # noqa: E741
 # name, table, key columns, result columns, their SQL
 SCALARS: list[tuple[str, str, list[str], dict[str, Callable[[], Column]], dict[str, str]]] = [
@@ -91,7 +99,7 @@ SCALARS: list[tuple[str, str, list[str], dict[str, Callable[[], Column]], dict[s
     ("dt1_spanish_date", A, ["attr_id"], {"v": lambda: dt.spanish_date(c("value_raw"))}, {"v": r"TRY_CAST(CASE WHEN list_position([" + ", ".join(f"'{m}'" for m in dt.MONTHS) + r"], lower(regexp_extract(value_raw, '^\s*([0-9]{1,2})\s+([A-Za-zñáéíóú]+)\s+([0-9]{4})\s*$', 2))) > 0 THEN concat(regexp_extract(value_raw, '([0-9]{4})\s*$', 1), '-', list_position([" + ", ".join(f"'{m}'" for m in dt.MONTHS) + r"], lower(regexp_extract(value_raw, '^\s*([0-9]{1,2})\s+([A-Za-zñáéíóú]+)\s+([0-9]{4})\s*$', 2))), '-', regexp_extract(value_raw, '^\s*([0-9]{1,2})', 1)) END AS DATE)"}),
     ("dt2_serial_timestamp", A, ["attr_id"], {"v": lambda: dt.serial_timestamp(F.when(c("value_raw").rlike("^[2-6][0-9]{4}$"), c("value_raw")))}, {"v": "CASE WHEN regexp_matches(value_raw, '^[2-6][0-9]{4}$') THEN CAST(DATE '1899-12-30' + CAST(value_raw AS INT) AS TIMESTAMP) END"}),
     ("dt3_seen_text", A, ["attr_id"], {"v": lambda: dt.seen_text(F.when(c("value_raw").rlike("^[2-6][0-9]{4}$") | c("value_raw").rlike("^[a-z]"), c("value_raw")))}, {"v": "CASE WHEN regexp_matches(value_raw, '^[2-6][0-9]{4}$') THEN strftime(CAST(DATE '1899-12-30' + CAST(value_raw AS INT) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') WHEN regexp_matches(value_raw, '^[a-z]') THEN trim(value_raw) ELSE '' END"}),
-    ("dt4_local_date", E, ["event_id"], {"v": lambda: dt.local_date(c("ts"))}, {"v": "CAST(ts + INTERVAL 1 HOUR AS DATE)"}),  # January: winter time
+    ("dt4_local_date", E, ["event_id"], {"v": lambda: dt.local_date(F.timestamp_add("HOUR", c("event_id") % 9000, c("ts")))}, {"v": f"CAST({madrid_sql('t')} AS DATE)"}),  # hours of a whole year: both changes of the clock
     ("dt5_stale", D, ["listing_id"], {"v": lambda: dt.stale(F.lit("2026-05-01").cast("timestamp_ntz"), c("captured_at"), 7)}, {"v": "coalesce(epoch(TIMESTAMP '2026-05-01') - epoch(captured_at) > 7 * 86400, true)"}),
     ("dt7_deadline", O, ["o_orderkey"], {"v": lambda: dt.deadline(c("o_orderdate"), 36)}, {"v": "o_orderdate + INTERVAL 36 HOUR"}),
     ("dt8_release_date", A, ["attr_id"], {"v": lambda: dt.release_date(c("value_raw"))}, {"v": r"coalesce(TRY_CAST(CASE WHEN list_position([" + ", ".join(f"'{m}'" for m in dt.MONTHS) + r"], regexp_extract(lower(value_raw), '[0-9]{1,2} de ([a-zñ]+) de [0-9]{4}', 1)) > 0 THEN concat(regexp_extract(lower(value_raw), '[0-9]{1,2} de [a-zñ]+ de ([0-9]{4})', 1), '-', list_position([" + ", ".join(f"'{m}'" for m in dt.MONTHS) + r"], regexp_extract(lower(value_raw), '[0-9]{1,2} de ([a-zñ]+) de [0-9]{4}', 1)), '-', regexp_extract(lower(value_raw), '([0-9]{1,2}) de [a-zñ]+ de [0-9]{4}', 1)) END AS DATE), TRY_CAST(nullif(regexp_extract(value_raw, '([0-9]{4}-[0-9]{2}-[0-9]{2})', 1), '') AS DATE))"}),
@@ -118,16 +126,14 @@ SCALARS: list[tuple[str, str, list[str], dict[str, Callable[[], Column]], dict[s
     ("mp2_fill_missing", D, ["listing_id"], {"v": lambda: ar.fill_missing(F.create_map(F.lit("brand"), tx.present(c("brand"))), F.create_map(F.lit("brand"), c("seller"), F.lit("asin"), c("asin")))["brand"]}, {"v": "coalesce(nullif(trim(brand), ''), seller)"}),
     ("js1_json_fields", E, ["event_id"], {"v": lambda: F.get_json_object("props", "$.k").cast("bigint")}, {"v": "CAST(json_extract_string(props, '$.k') AS BIGINT)"}),
     ("js3_nested_to_json", D, ["listing_id"], {"v": lambda: F.to_json(F.struct("asin", "listing_id"))}, {"v": "'{\"asin\":\"' || asin || '\",\"listing_id\":' || listing_id || '}'"}),
-    ("js4_client_list", E, ["event_id"], {"v": lambda: F.size(F.from_json(F.concat(F.lit("["), c("props"), F.lit(","), c("props"), F.lit("]")), "array<struct<k:bigint>>"))}, {"v": "CAST(2 AS INT)"}),
     ("sp1_unit_class", A, ["attr_id"], {"v": lambda: sp.unit_class(c("value_raw"))}, {"v": sp.unit_class_sql("value_raw")}),
     ("sp2_short_forms", A, ["attr_id"], {"v": lambda: sp.capacity_short(c("value_raw")), "w": lambda: sp.dimension_short(c("value_raw"))}, {"v": sp.capacity_sql("value_raw"), "w": sp.dimension_sql("value_raw")}),
     ("sp3_suspicious_dimension", A, ["attr_id"], {"v": lambda: sp.suspicious_dimension(c("value_raw"))}, {"v": r"coalesce(regexp_matches(value_raw, '^\s*1\s*[xX×]\s*1(\s*[xX×]\s*1)?\s*([a-z]|$)'), false)"}),
-    ("sp4_package_count", A, ["attr_id"], {"v": lambda: sp.count_in(c("value_raw"))}, {"v": r"TRY_CAST(nullif(regexp_extract(value_raw, '^(?:Juego de )?([0-9]{1,4})(?: (?:piezas|uds\.?|unidades))?$', 1), '') AS INT)"}),
-    ("sp5_count_precedence", D, ["listing_id"], {"v": lambda: sp.title_count(c("title"))}, {"v": r"CASE WHEN TRY_CAST(nullif(regexp_extract(lower(title), '(?:pack de|set|juego de) ([0-9]+)', 1), '') AS INT) > 1 THEN TRY_CAST(nullif(regexp_extract(lower(title), '(?:pack de|set|juego de) ([0-9]+)', 1), '') AS INT) WHEN TRY_CAST(nullif(regexp_extract(lower(title), '([0-9]+) (?:piezas|uds|unidades|pcs)', 1), '') AS INT) > 1 THEN TRY_CAST(nullif(regexp_extract(lower(title), '([0-9]+) (?:piezas|uds|unidades|pcs)', 1), '') AS INT) END"}),
     ("sp8_spec_terms", S, ["case_id"], {"v": lambda: tx.replace_terms(c("specification_es"), {"litros": "l", "kilogramos": "kg", "centímetros": "cm"})}, {"v": r"regexp_replace(regexp_replace(regexp_replace(specification_es, '(?i)(^|[^A-Za-z0-9])centímetros($|[^A-Za-z0-9])', '\1cm\2', 'g'), '(?i)(^|[^A-Za-z0-9])kilogramos($|[^A-Za-z0-9])', '\1kg\2', 'g'), '(?i)(^|[^A-Za-z0-9])litros($|[^A-Za-z0-9])', '\1l\2', 'g')"}),
 ]
 # Sub-selects that some SQL above builds on, instead of the bare table.
 _FROM = {
+    "dt4_local_date": "(SELECT event_id, ts + (event_id % 9000) * INTERVAL 1 HOUR AS t FROM events)",
     "tx19_language": "(SELECT doc_id, text, list_sort([" + ", ".join(f"{{'n': -len(list_intersect(w, [{', '.join(repr(x) for x in own)}])), 'name': '{name}'}}" for name, own in tx.LANGUAGE_WORDS.items()) + "]) AS s FROM (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[^a-záéíóúüñçãõâêôà]+'), lambda x: length(x) > 1) AS w FROM documents))",
     "tx20_detail_rows": r"(SELECT case_id, list_distinct(list_filter(list_transform(regexp_split_to_array(specification_es, '\n|; | / | \| '), lambda s: trim(s)), lambda s: s <> '')) AS r FROM saved_cases)",
     "nu3_locale_number": "(SELECT snapshot_id, asin, rank_raw, regexp_replace(regexp_extract(rank_raw, '([-+]?[0-9][0-9\\s.,]*)', 1), '\\s', '', 'g') AS n FROM identity_candidates)",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -232,6 +233,19 @@ def list_context(html: str | None) -> tuple:
     return trail, nodes[-1] if nodes else None
 
 
+def listed_records(html: str | None) -> list[tuple]:
+    """``record, place`` of the records in a page's ``data-client-recs-list``, as JSON; broken lists and entries that are no
+    objects are left out, and places count within a list."""
+    out = []
+    for node in parse(html).all(attr="data-client-recs-list"):
+        try:
+            records = json.loads(node.attrs["data-client-recs-list"])
+        except ValueError:
+            continue
+        out += [(json.dumps(r, ensure_ascii=False), i) for i, r in enumerate(records if isinstance(records, list) else (), 1) if isinstance(r, dict)]
+    return out
+
+
 def _once(values: list[str]) -> list[str]:
     """Without empty ones and repetitions in another case; the first stays."""
     kept: dict[str, str] = {}
@@ -393,12 +407,13 @@ _SHAPES = {
     "context": (lambda h: [list_context(h)], ["category_trail", "node"], "category_trail array<string>, node string"),
     "details": (lambda h: [detail_fields(h)], _DETAILS, ", ".join(f"{n} {_KIND_OF.get(n, 'string')}" for n in _DETAILS)),
     "attributes": (attribute_rows, ["section", "label", "value", "position"], "section string, label string, value string, position int"),
+    "records": (listed_records, ["record", "place"], "record string, place int"),
     "navigation": (navigation, ["depth", "name", "href"], "depth int, name string, href string"),
 }
 
 
 def extract(pages: DataFrame, key: str, html: str, shape: str) -> DataFrame:
-    """Rows of one shape (``cards``, ``context``, ``details``, ``attributes`` or ``navigation``) from each page, with the page's key."""
+    """Rows of one shape (``cards``, ``context``, ``details``, ``attributes``, ``records`` or ``navigation``) from each page, with the page's key."""
     parser, names, schema = _SHAPES[shape]
     kind = dict(pages.dtypes)[key]
 
@@ -406,7 +421,7 @@ def extract(pages: DataFrame, key: str, html: str, shape: str) -> DataFrame:
         for frame in frames:
             rows = [(k, *r) for k, h in zip(frame[key], frame[html], strict=True) for r in parser(h)]
             made = pd.DataFrame(rows, columns=[key, *names])
-            for n in ("rank", "position", "depth"):
+            for n in ("rank", "position", "depth", "place"):
                 if n in made:
                     made[n] = made[n].astype("Int64" if n == "rank" else "Int32")
             yield made

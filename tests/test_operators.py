@@ -148,3 +148,15 @@ def test_claims_and_decisions(spark):
             stacks[key].append(event)
     got = catalogue.standing_decisions(spark.createDataFrame(log, "k string, seq int, e string"), "k", "e", "undo", [F.col("seq")]).collect()
     assert {r.k: r.decision for r in got} == {k: v[-1] for k, v in stacks.items() if v}
+
+
+def test_count_precedence(spark):
+    from rastro.functions import specs as sp
+
+    rows = [
+        ("118 ml (Paquete de 1)", "Set de 3", None, None, 12.0, None), ("8 unidades (Paquete de 2)", None, None, None, None, 16), (None, "Pack de 6 vasos", "Set 4", None, None, 6), (None, "vaso", "Set 4 Estándar", None, None, 4),
+        (None, "vaso", "grande", "3", None, 3), (None, "1 pieza", None, "1", 5.0, 5), (None, None, None, None, 1.0, None), (None, None, None, None, 2.5, None), ("", "", "", "", None, None),
+    ]
+    df = spark.createDataFrame(rows, "variant string, title string, size string, sets string, most double, want int")
+    got = df.select(sp.resolved_count(F.col("variant"), F.col("title"), F.col("size"), F.col("sets"), F.col("most")).alias("n"), "want").collect()
+    assert [r.n for r in got] == [r.want for r in got]
