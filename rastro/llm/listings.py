@@ -47,7 +47,7 @@ COLOURS = {
 # Brand texts that name no maker.
 NO_MAKER = {"", "generico", "generica", "marca blanca", "sin marca", "generic", "unbranded", "na", "nd", "no aplicable"}
 
-_CODE = re.compile(r"(?<![a-z0-9])(?!(?:de|del|con|por|para|hasta|sin|los|las|of|for|with|to|and)\b)([a-z]{2,4})[ -]?(\d{4,10})[ -]?([a-z])?(?![a-z0-9])")
+_CODE = re.compile(r"(?<![a-z0-9])(?!(?:de|del|con|por|para|hasta|sin|los|las|of|for|with|to|and) \d{1,4}(?!\d))([a-z]{2,4})[ -]?(\d{4,10})[ -]?([a-z])?(?![a-z0-9])")
 _MIXED = re.compile(r"(?<![\w-])(?=[a-z-]*\d)[a-z0-9]+(?:-[a-z0-9]+)*(?![\w-])")  # letters and digits in one token
 _MEASURE = re.compile(r"\d+[a-z]{1,12}|\d+(?:x\d+)+[a-z]*")
 _AFTER_UNIT = re.compile(r"[ -]\d{4,10}(?:[ -]?[a-z])?(?![a-z0-9])", re.IGNORECASE)

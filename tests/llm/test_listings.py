@@ -65,6 +65,7 @@ def test_a_unit_before_a_code_is_none():
 
 def test_codes_of_other_forms():
     assert [parse_title(t)[1] for t in ("Sony RX100M3", "Auriculares WH-1000XM4", "dsc-rx100m3", "Pila de 1800W 12000mAh 24h 30x40 2-en-1 USB3")] == [["RX100M3"], ["WH1000XM4"], ["DSCRX100M3"], []]
+    assert [parse_title(t)[1] for t in ("Mod. TO 1234567-A", "TO-1234567A rojo", "de 1800 W")] == [["TO1234567A"], ["TO1234567A"], []]
 
 
 def test_hot_blocks_are_split(spark):
