@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rastro.operators.rows import first_by
 from rastro.session import cut
 
-MAX_ARCS = 1_000_000  # the aggregated network is solved on the driver; its size is checked
+MAX_ARCS = 1_000_000  # links of the part of the network that is solved on the driver; their number is checked
 
 
 def running_total(rows: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
@@ -101,26 +102,103 @@ def _max_flow(arcs: dict[tuple, int], source: str, sink: str) -> int:
                     untried[path[-1]].pop()
 
 
+def _listed(options: DataFrame, column: str, name: str, values: list[tuple], more: str = "") -> DataFrame:
+    """A few values of a column of ``options``, to be broadcast, as ``name`` with what stands beside them."""
+    kind = options.schema[column].dataType.simpleString()
+    return F.broadcast(options.sparkSession.createDataFrame(values, f"`{name}` {kind}{more}"))
+
+
+def _offers(options: DataFrame, categories: list, open_: list[int], full: dict[int, set]) -> DataFrame:
+    """``entity, has`` (of each category) and, per open category, ``_fromN``, a source not full for it, if ``_anyN``."""
+    where = defaultdict(list)
+    for i, sources in full.items():
+        for s in sources:
+            where[s].append(i)
+    rows = options.withColumn("_h", F.xxhash64("entity", "source"))
+    if where:
+        rows = rows.join(_listed(options, "source", "_s", list(where.items()), ", _full array<int>"), F.col("source").eqNullSafe(F.col("_s")), "left")
+    has = [F.max(F.coalesce(F.col("category").eqNullSafe(F.lit(c)), F.lit(False))) for c in categories]
+    picks = []
+    for i in open_:
+        h = F.when(~F.coalesce(F.array_contains("_full", i), F.lit(False)), F.col("_h")) if where else F.col("_h")
+        picks += [F.min_by("source", h).alias(f"_from{i}"), F.min(h).isNotNull().alias(f"_any{i}")]
+    offers = rows.groupBy("entity").agg(*[x.alias(f"_has{i}") for i, x in enumerate(has)], *picks)
+    held = F.array(*[F.col(f"_has{i}") for i in range(len(has))])
+    return cut(offers.withColumn("has", held).drop(*[f"_has{i}" for i in range(len(has))]).filter(F.array_contains("has", True)))
+
+
+def _kernel(options: DataFrame, quota: int, categories: list, most: int) -> list:
+    """Rows ``_e, source, has``: a part of the network whose flow is that of the whole one, at most ``most`` by its quotas.
+
+    Each category by itself is matched greedily to sources with room, until it has ``most`` entities or no free entity has
+    a source with room left. Three steps then keep the flow, since other units than a given one are fewer than ``most``:
+
+    * A category with ``most`` matched entities keeps only those: sets that can be matched are a matroid, so any unit of
+      another entity can be handed to one of them.
+    * In any other category an unmatched entity has only sources full for it. Each of these keeps ``most`` entities of the
+      category: one is always free to take the place of one left out.
+    * A matched entity keeps as many sources as have room for ``most`` units: one always has room.
+    """
+    matched: dict[int, set] = {i: set() for i in range(len(categories))}
+    used: dict[int, dict] = {i: defaultdict(int) for i in matched}
+    open_ = list(matched)
+    while open_:
+        full = {i: {s for s, n in used[i].items() if n == quota} for i in open_}
+        offers = _offers(options, categories, open_, full)
+        for i in list(open_):
+            mine = offers.filter(F.element_at("has", i + 1) & F.col(f"_any{i}")).select("entity", F.col(f"_from{i}").alias("source"))
+            if matched[i]:
+                mine = mine.join(_listed(options, "entity", "_e", [(e,) for e in matched[i]]), F.col("entity").eqNullSafe(F.col("_e")), "left_anti")
+            turn = F.row_number().over(Window.partitionBy("source").orderBy(F.xxhash64("entity")))
+            found = mine.withColumn("_at", turn).filter(F.col("_at") <= quota).orderBy("_at").limit(most - len(matched[i])).collect()
+            for row in found:
+                if used[i][row.source] < quota:
+                    used[i][row.source] += 1
+                    matched[i].add(row.entity)
+            if not found or len(matched[i]) == most:
+                open_.remove(i)
+
+    ids = _listed(options, "entity", "_e", [(e,) for e in set().union(*matched.values())])
+    near = offers.join(ids, F.col("entity").eqNullSafe(F.col("_e"))).select("_e", "has")
+    links = options.select("entity", "source").join(F.broadcast(near), F.col("entity").eqNullSafe(F.col("_e"))).select("_e", "source", "has").distinct()
+    parts = [first_by(links, ["_e"], [F.xxhash64("source")], -(-most // quota))]
+    where = defaultdict(list)
+    for i in matched:
+        for s, n in used[i].items():
+            if n == quota and len(matched[i]) < most:
+                where[s].append(i)
+    if where:
+        of_full = options.select("entity", "source").join(_listed(options, "source", "_s", list(where.items()), ", _full array<int>"), F.col("source").eqNullSafe(F.col("_s"))).select("entity", "source", "_full").distinct()
+        held = offers.select(F.col("entity").alias("_e"), "has")
+        each = of_full.join(held, F.col("entity").eqNullSafe(F.col("_e"))).select("_e", "source", "has", F.explode("_full").alias("_i")).filter(F.expr("has[_i]"))
+        parts.append(first_by(each, ["_i", "source"], [F.xxhash64("_e")], most).select("_e", "source", "has"))
+    found, left = [], MAX_ARCS
+    for part in parts:
+        found += part.limit(left + 1).collect()
+        left = MAX_ARCS - len(found)
+        if left < 0:
+            raise ValueError("the network that holds the flow is too large for the driver: the quotas are")
+    return found
+
+
 def allocate(options: DataFrame, source_quota: int, category_quota: dict[str, int]) -> DataFrame:
     """How many entities can be allocated, each once, to a source and category of its ``options(source, entity, category)``,
     with at most ``source_quota`` per source and the given number per category; with the shortfall.
 
-    Entities with the same options are interchangeable, so they are counted in Spark and flow as one node each.
+    Any of an entity's sources goes with any of its categories; null is a value like others. No more than the sum of the
+    category quotas W can be allocated, so a part of the network has the same flow as the whole (:func:`_kernel`). It is found
+    in Spark and solved on the driver; its size depends on the quotas alone, not on the options: at most W * categories *
+    (ceil(W / source_quota) + W / source_quota) links, of which the driver takes ``MAX_ARCS``.
     """
-    offer = options.groupBy("entity").agg(F.array_sort(F.collect_set(F.struct("source", "category"))).alias("o"))
-    kinds = offer.groupBy("o").agg(F.count(F.lit(1)).alias("n")).limit(MAX_ARCS // 10 + 1).collect()
-    if len(kinds) > MAX_ARCS // 10:
-        raise ValueError("the aggregated network is too large for the driver")
-    arcs: dict[tuple, int] = defaultdict(int)
-    for i, row in enumerate(kinds):
-        for o in row.o:
-            arcs[("s", o.source), ("k", i, o.source)] = row.n
-            arcs[("k", i, o.source), ("e", i)] = row.n
-            arcs["S", ("s", o.source)] = source_quota
-            arcs[("e", i), ("f", i)] = row.n
-            arcs[("f", i), ("c", o.category)] = row.n
-    for category, quota in category_quota.items():
-        arcs[("c", category), "T"] = quota
-    got = _max_flow(arcs, "S", "T")
-    wanted = sum(category_quota.values())
+    quotas = {c: n for c, n in category_quota.items() if n > 0}
+    most, wanted, got = sum(quotas.values()), sum(category_quota.values()), 0
+    if source_quota > 0 and most:
+        arcs: dict[tuple, int] = {(("c", i), "T"): n for i, n in enumerate(quotas.values())}
+        for e, source, has in _kernel(options, min(source_quota, most), list(quotas), most):
+            arcs["S", ("s", source)] = source_quota
+            arcs[("s", source), ("e", e)] = arcs[("e", e), ("f", e)] = 1
+            for i, held in enumerate(has):
+                if held:
+                    arcs[("f", e), ("c", i)] = 1
+        got = _max_flow(arcs, "S", "T")
     return options.sparkSession.createDataFrame([(got, wanted - got)], "allocated bigint, shortfall bigint")

@@ -468,7 +468,7 @@ def so7_quality(t):
 def so8_allocation(t):
     from rastro.operators.flow import allocate
 
-    options = t("lineitem").select(c("l_suppkey").alias("source"), c("l_partkey").alias("entity"), c("l_returnflag").alias("category")).distinct()
+    options = t("lineitem").select(c("l_suppkey").alias("source"), c("l_partkey").alias("entity"), c("l_returnflag").alias("category"))
     return allocate(options, 15, {"A": 300, "N": 400, "R": 300})
 
 
